@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from aerolith.fixed import POLLUTANTS
 from aerolith.operators.dedupe import dedupe_latest
-from aerolith.operators.percentile import HOT_GROUP_ROWS, aggregate_with_percentile
+from aerolith.operators.percentile import aggregate_with_percentile
+from aerolith.operators.skew import HOT_GROUP_ROWS, hot_groups
 
-DAY = ["city_id", "city_name", "observation_date"]
-AIR_GROUP = ["city_id", "observation_date", "parameter_name"]
+CITY_DAY = ["city_id", "observation_date"]
 
 # Output name, aggregate, staged input.
 _WEATHER = [
@@ -58,6 +58,26 @@ def weather_daily(hourly: DataFrame) -> DataFrame:
     return _by_day(hourly, _WEATHER, F.max("ingested_at").alias("last_ingested_at"))
 
 
+def weather_daily_latest(staged: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """weather_latest and weather_daily in one exchange.
+
+    Rows of a city's day are brought together once, and deduplicated and aggregated where they
+    are; the result is partitioned by city and day for the joins that follow. A count per city and
+    day comes first and runs at once. If a day turns out too large for one task, deduplication
+    shuffles by hour instead, with all but one row of an hour dropped before the exchange.
+    """
+    # Deduplication should shuffle no column that the roll-up does not read.
+    rows = staged.select(
+        "city_id", "city_name", "observation_ts", *DAILY_INPUTS, "source_kind", "ingested_at",
+        F.to_date("observation_ts").alias("observation_date"),
+    )
+    if hot_groups(rows, CITY_DAY, hot_group_rows).isEmpty():
+        rows = rows.repartition(*CITY_DAY)
+    order = ["source_kind", *DAILY_INPUTS]
+    hours = dedupe_latest(rows, [*CITY_DAY, "observation_ts"], "ingested_at", order)
+    return weather_daily(hours)
+
+
 def batch_daily(raw: DataFrame) -> DataFrame:
     """Raw hours to days, as the batch job needs them: no deduplication, eight measures."""
     return _by_day(raw, _BATCH)
@@ -65,10 +85,10 @@ def batch_daily(raw: DataFrame) -> DataFrame:
 
 def _by_day(df: DataFrame, measures: list, *more: Column) -> DataFrame:
     aggs = [aggregate(source).alias(name) for name, aggregate, source in measures]
-    return (
-        df.withColumn("observation_date", F.to_date("observation_ts"))
-        .groupBy(*DAY)
-        .agg(*aggs, F.count(F.lit(1)).alias("hour_count"), *more)
+    if "observation_date" not in df.columns:
+        df = df.withColumn("observation_date", F.to_date("observation_ts"))
+    return df.groupBy("city_id", "city_name", "observation_date").agg(
+        *aggs, F.count(F.lit(1)).alias("hour_count"), *more
     )
 
 
@@ -89,7 +109,7 @@ def air_daily(
     usable = staged.filter(F.col("normalised_value").isNotNull())
     stats = aggregate_with_percentile(
         usable,
-        AIR_GROUP,
+        [*CITY_DAY, "parameter_name"],
         "normalised_value",
         0.5,
         "median_value",
@@ -97,12 +117,13 @@ def air_daily(
             F.avg("normalised_value").alias("mean_value"),
             F.min("normalised_value").alias("min_value"),
             F.max("normalised_value").alias("max_value"),
-            F.count_distinct("sensor_id").alias("sensor_count"),
             F.sum("measurement_count").alias("total_measurements"),
             # A usable reading's unit follows from its pollutant, so these are the names one city
             # goes by within one day.
             F.collect_set(F.struct("city_name", "parameter_units")).alias("labels"),
         ],
+        {"sensor_count": "sensor_id"},
+        CITY_DAY,
         hot_group_rows,
     )
     return stats.withColumn("label", F.explode("labels")).select(
@@ -127,6 +148,6 @@ def pollutants_wide(air: DataFrame) -> DataFrame:
         F.max(F.when(name == pollutant, F.col("median_value"))).alias(pollutant)
         for pollutant in POLLUTANTS
     ]
-    return air.groupBy("city_id", "observation_date").agg(
+    return air.groupBy(*CITY_DAY).agg(
         *medians, F.count_distinct("parameter_name").alias("pollutants_measured")
     )

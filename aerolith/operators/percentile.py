@@ -9,14 +9,14 @@ Every step aggregates partially before it shuffles and spreads one group over al
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from aerolith.operators.skew import HOT_GROUP_ROWS, hot_groups
 from aerolith.session import stored
 
-HOT_GROUP_ROWS = 1_000_000
 # Narrowing steps: by magnitude (at most about 75,000 buckets a group), then twice by equal width.
 # A magnitude bucket spans 1/16 octave, so under 2**49 doubles; two splits by 2**14 leave < 2**21.
 _BUCKETS_PER_OCTAVE = 16
@@ -31,26 +31,42 @@ def aggregate_with_percentile(
     q: float,
     alias: str,
     aggs: Sequence[Column] = (),
+    distinct_counts: Mapping[str, str] | None = None,
+    colocate: Sequence[str] | None = None,
     hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """groupBy(keys) with the interpolated percentile `q` of `value` as `alias`, plus `aggs`.
 
-    A count per group, over the key columns only, comes first and runs at once. Without hot groups
-    the result is one plain aggregation. Otherwise the hot keys, at most rows/hot_group_rows of
-    them, are stored, so that Spark sees their size when it picks the join that splits the input.
+    `distinct_counts` maps names of further results to the columns whose distinct values to count.
+    The rows are brought together by `colocate`, some or all of the keys: fewer keys let later
+    groupings and joins on them go without an exchange.
+
+    A count per group, over those columns only, comes first and runs at once. Without hot groups
+    the result is one exchange of the rows and one aggregation. Otherwise the hot keys are stored,
+    so that Spark sees their size when it picks the join that splits the input.
     """
-    keys = list(keys)
+    keys, distinct = list(keys), dict(distinct_counts or {})
+    together = list(colocate or keys)
     percentile = F.expr(f"percentile_cont({q!r}) within group (order by `{value}`)").alias(alias)
-    counts = df.groupBy(*keys).count().filter(F.col("count") > hot_group_rows)
-    if counts.isEmpty():
-        return df.groupBy(*keys).agg(percentile, *aggs)
-    hot = stored(counts.select(*keys), "hot-groups").alias("h")
-    same = _same_keys(keys, "d", "h")
-    ordinary = df.alias("d").join(hot, same, "left_anti").groupBy(*keys).agg(percentile, *aggs)
+    # No group here is large, so its distinct values fit in a set: cheaper than a second exchange.
+    sets = [F.size(F.collect_set(c)).cast("bigint").alias(n) for n, c in distinct.items()]
+
+    def at_once(rows: DataFrame) -> DataFrame:
+        # A percentile needs every value of its group, so aggregating before the exchange would
+        # save nothing: bring the groups together first and aggregate once.
+        return rows.repartition(*together).groupBy(*keys).agg(percentile, *aggs, *sets)
+
+    hot = hot_groups(df, together, hot_group_rows)
+    if hot.isEmpty():
+        return at_once(df)
+    hot = stored(hot, "hot-groups").alias("h")
+    same = _same_keys(together, "d", "h")
+    ordinary = at_once(df.alias("d").join(hot, same, "left_anti"))
     large = df.alias("d").join(hot, same, "left_semi")
     picked = rank_percentile(large, keys, value, q, alias)
-    if aggs:
-        others = large.groupBy(*keys).agg(*aggs).alias("a")
+    spread = [*aggs, *[F.count_distinct(c).alias(n) for n, c in distinct.items()]]
+    if spread:
+        others = large.groupBy(*keys).agg(*spread).alias("a")
         joined = others.join(picked.alias("p"), _same_keys(keys, "a", "p"), "left")
         picked = joined.select(
             *[F.col(f"{'p' if c == alias else 'a'}.{c}").alias(c) for c in ordinary.columns]

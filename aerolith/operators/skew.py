@@ -1,0 +1,19 @@
+"""Finding groups too large to bring together in one task."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+# Up to this many rows one task can sort or collect a group in memory.
+HOT_GROUP_ROWS = 1_000_000
+
+
+def hot_groups(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Keys of the groups above `limit` rows: at most rows/limit of them.
+
+    Reads the key columns only, and counts before it shuffles.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") > limit).drop("_rows")

@@ -6,13 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from aerolith import fixed
 from aerolith.functions import columns as C
-from aerolith.operators.daily import (
-    DAILY_INPUTS,
-    air_daily,
-    pollutants_wide,
-    weather_daily,
-    weather_latest,
-)
+from aerolith.operators.daily import CITY_DAY, air_daily, pollutants_wide, weather_daily_latest
 
 _PLACE = ["city_id", "city_name", "latitude", "longitude", "elevation_m"]
 
@@ -137,7 +131,7 @@ def fct_stress(weather: DataFrame, air: DataFrame) -> DataFrame:
         "max_apparent_temperature_c", {name: name for name in fixed.POLLUTANTS}
     )
     return weather.join(
-        pollutants_wide(air), ["city_id", "observation_date"], "left"
+        pollutants_wide(air), CITY_DAY, "left"
     ).select(
         C.surrogate_key("city_id", "observation_date").alias("stress_sk"),
         "city_id", "city_name", "department", "climate_zone",
@@ -154,17 +148,9 @@ def weather_mart(
     hist: DataFrame, daily: DataFrame, dim: DataFrame, stream: DataFrame | None = None
 ) -> DataFrame:
     """Raw feeds to fct_weather in one plan."""
-    hours = weather_latest(_narrow(stage_weather(hist, daily, stream)))
-    return fct_weather(weather_daily(hours), dim)
+    return fct_weather(weather_daily_latest(stage_weather(hist, daily, stream)), dim)
 
 
 def air_mart(raw: DataFrame, dim: DataFrame, dedupe: bool = False) -> DataFrame:
     """Raw readings to fct_air in one plan."""
     return fct_air(air_daily(stage_air(raw), dedupe), dim)
-
-
-def _narrow(staged: DataFrame) -> DataFrame:
-    """Only what the daily roll-up reads, so that deduplication shuffles no other column."""
-    return staged.select(
-        "city_id", "city_name", "observation_ts", *DAILY_INPUTS, "source_kind", "ingested_at"
-    )

@@ -434,6 +434,7 @@ def _quality() -> str:
 
 def _oracles() -> dict[str, str]:
     air = f"{_DAY}, parameter_name, parameter_units, {_AIR_VALUES}"
+    days = f"{_DAY}, {_num(_DOUBLES_WEATHER)}, hour_count, last_ingested_at:ts"
     normals = (
         "city_id, city_name, month_of_year, year, month_avg_temp_c:num, month_min_temp_c:num,"
         " month_max_temp_c:num, month_total_precip_mm:num, month_avg_humidity_pct:num,"
@@ -485,9 +486,8 @@ def _oracles() -> dict[str, str]:
             {_key("l_orderkey", "l_linenumber")} AS two_part_key,
             {_key("nullif(l_returnflag, 'R')", "cast(l_shipdate AS date)", "l_suppkey")}
               AS three_part_key FROM lineitem""",
-        "daily_rollup": _sql(
-            f"{_DAY}, {_num(_DOUBLES_WEATHER)}, hour_count, last_ingested_at:ts", "daily", ["daily"]
-        ),
+        "daily_rollup": _sql(days, "daily", ["daily"]),
+        "daily_rollup_hot_days": _sql(days, "daily", ["daily"]),
         "batch_daily": _sql(f"{_DAY}, {_num(_DOUBLES_BATCH)}, hour_count", "batch", ["batch"]),
         "row_count": "SELECT count(*) AS raw_rows FROM lineitem",
         "air_daily_median": _sql(air, "air_daily", ["air_daily"]),

@@ -61,11 +61,6 @@ def _fct_stress(spark, d):
     return W.fct_stress(_fct_weather(spark, d), _fct_air(spark, d))
 
 
-def daily_rollup(spark, d):
-    hours = D.weather_latest(W._narrow(_staged(spark, d)))
-    return D.weather_daily(hours)
-
-
 def union_stream(spark, d):
     """Third branch of the union: landed stream events beside the two feeds."""
     events = roles.table(spark, d, "events").select(
@@ -356,7 +351,8 @@ QUERIES = {
     "union_stream": union_stream,
     "unit_normalise": unit_normalise,
     "surrogate_key": surrogate_key,
-    "daily_rollup": daily_rollup,
+    "daily_rollup": lambda s, d: D.weather_daily_latest(_staged(s, d)),
+    "daily_rollup_hot_days": lambda s, d: D.weather_daily_latest(_staged(s, d), hot_group_rows=3),
     "batch_daily": _daily,
     "row_count": row_count,
     "air_daily_median": lambda s, d: D.air_daily(W.stage_air(roles.air(s, d))),
