@@ -101,14 +101,15 @@ def air_daily(
     group repeats them in a row of its own. `dedupe` first keeps only the latest landing of each
     sensor's day: overlapping landings otherwise count more than once.
     """
+    has_value = F.col("normalised_value").isNotNull()
+    rows = staged
     if dedupe:
-        staged = dedupe_latest(
+        rows = dedupe_latest(
             staged, ["city_id", "sensor_id", "parameter_name", "observation_date"], "ingested_at",
             ["normalised_value", "measurement_count"],
         )
-    usable = staged.filter(F.col("normalised_value").isNotNull())
     stats = aggregate_with_percentile(
-        usable,
+        rows.filter(has_value),
         [*CITY_DAY, "parameter_name"],
         "normalised_value",
         0.5,
@@ -124,6 +125,7 @@ def air_daily(
         ],
         {"sensor_count": "sensor_id"},
         CITY_DAY,
+        staged.filter(has_value),
         hot_group_rows,
     )
     return stats.withColumn("label", F.explode("labels")).select(

@@ -33,6 +33,7 @@ def aggregate_with_percentile(
     aggs: Sequence[Column] = (),
     distinct_counts: Mapping[str, str] | None = None,
     colocate: Sequence[str] | None = None,
+    gauge: DataFrame | None = None,
     hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """groupBy(keys) with the interpolated percentile `q` of `value` as `alias`, plus `aggs`.
@@ -41,8 +42,8 @@ def aggregate_with_percentile(
     The rows are brought together by `colocate`, some or all of the keys: fewer keys let later
     groupings and joins on them go without an exchange.
 
-    A count per group, over those columns only, comes first and runs at once. Without hot groups
-    the result is one exchange of the rows and one aggregation. Otherwise the hot keys are stored,
+    A count per group, over those columns only, comes first and runs at once; `gauge` is a cheaper
+    frame to count in, with at least the rows of `df`. Without hot groups the result is one exchange of the rows and one aggregation. Otherwise the hot keys are stored,
     so that Spark sees their size when it picks the join that splits the input.
     """
     keys, distinct = list(keys), dict(distinct_counts or {})
@@ -56,7 +57,7 @@ def aggregate_with_percentile(
         # save nothing: bring the groups together first and aggregate once.
         return rows.repartition(*together).groupBy(*keys).agg(percentile, *aggs, *sets)
 
-    hot = hot_groups(df, together, hot_group_rows)
+    hot = hot_groups(df if gauge is None else gauge, together, hot_group_rows)
     if hot.isEmpty():
         return at_once(df)
     hot = stored(hot, "hot-groups").alias("h")

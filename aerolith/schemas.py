@@ -44,6 +44,8 @@ STREAM_EVENT = _struct(
     sensor_kind=STRING,
 )
 
+STREAM_LANDED = T.StructType(STREAM_EVENT.fields + [T.StructField("consumed_at", TIMESTAMP)])
+
 # Path columns of the layouts.
 CITY_MONTH_PATH = _struct(city_id=STRING, year=INT, month=INT)
 DAY_PATH = _struct(year=INT, month=INT, day=INT)

@@ -1,4 +1,8 @@
-"""Landed JSON documents (one response per file or row) to flat raw tables."""
+"""Landed JSON documents (one response per file or row) to flat raw tables.
+
+The outer generators with a filter behind them are on purpose: for the inner ones Catalyst infers
+a filter on the array below, which would parse every document a second time.
+"""
 
 from __future__ import annotations
 
@@ -29,11 +33,12 @@ def hourly_rows(payloads: DataFrame, cities: DataFrame, ingested_at: Column | No
     parsed = payloads.withColumn("h", F.from_json("payload", schemas.HOURLY_PAYLOAD)["hourly"])
     absent = F.array().cast("array<double>")
     measures = [F.coalesce(F.col("h")[name], absent).alias(name) for name in HOURLY_MEASURES]
-    hours = parsed.filter(F.col("h.time").isNotNull()).select(
+    # Zipping gives NULL, hence no hours, if the time array is absent.
+    hours = parsed.select(
         "city_id",
         _ingested_at(payloads, ingested_at),
-        F.inline(F.arrays_zip(F.col("h.time").alias("time"), *measures)),
-    )
+        F.inline_outer(F.arrays_zip(F.col("h.time").alias("time"), *measures)),
+    ).filter(F.col("time").isNotNull())
     places = cities.select(
         "city_id", F.col("name").alias("city_name"), "latitude", "longitude", "elevation_m"
     )
@@ -50,10 +55,10 @@ def hourly_rows(payloads: DataFrame, cities: DataFrame, ingested_at: Column | No
 def sensors(payloads: DataFrame) -> DataFrame:
     """(city_id, payload) of station listings to one row per sensor of a kept pollutant."""
     stations = payloads.withColumn(
-        "station", F.explode(F.from_json("payload", schemas.STATIONS_PAYLOAD)["results"])
+        "station", F.explode_outer(F.from_json("payload", schemas.STATIONS_PAYLOAD)["results"])
     )
     return (
-        stations.withColumn("sensor", F.explode("station.sensors"))
+        stations.withColumn("sensor", F.explode_outer("station.sensors"))
         .filter(F.col("sensor.parameter.name").isin(POLLUTANTS))
         .select(
             "city_id",
@@ -72,9 +77,8 @@ def measurements(
     """(city_id, sensor_id, payload) of daily measurements to the raw air-quality layout."""
     m = F.col("m")
     utc = m["period"]["datetimeFrom"]["utc"]
-    flat = payloads.withColumn(
-        "m", F.explode(F.from_json("payload", schemas.MEASUREMENTS_PAYLOAD)["results"])
-    ).select(
+    results = F.from_json("payload", schemas.MEASUREMENTS_PAYLOAD)["results"]
+    flat = payloads.withColumn("m", F.explode_outer(results)).filter(m.isNotNull()).select(
         "city_id",
         "sensor_id",
         F.nullif(F.substring(utc, 1, 10), F.lit("")).alias("observation_date"),

@@ -119,7 +119,7 @@ def weather_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 
 def air(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.date_format(F.date_trunc("week", "l_shipdate"), "yyyy-MM-dd")
+    day = F.trunc("l_shipdate", "week").cast("string")
     return _select(
         table(spark, sf_dir, "lineitem"), AIR_EXPR, day.alias("observation_date"), _landed_at()
     )
