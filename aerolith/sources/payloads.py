@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aerolith import schemas
 from aerolith.fixed import HOURLY_MEASURES, POLLUTANTS
+from aerolith.sources.scan import pin_city
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -17,12 +18,9 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
     A document is one API page, so a whole one per row stays small.
     """
-    with_types_off = spark.read.option("wholetext", True).text(path)
-    names = [name for name in with_types_off.columns if name != "value"]
-    return with_types_off.select(
-        *[F.col(n).cast("string") if n == "city_id" else F.col(n) for n in names],
-        F.col("value").alias("payload"),
-    )
+    layout = pin_city(spark.read.text(path).schema)
+    documents = spark.read.schema(layout).text(path, wholetext=True)
+    return documents.withColumnRenamed("value", "payload")
 
 
 def hourly_rows(payloads: DataFrame, cities: DataFrame, ingested_at: Column | None = None) -> DataFrame:

@@ -29,15 +29,18 @@ def read_partitioned(
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
     """Hourly weather in either layout, with time columns that arrive as nanoseconds converted.
 
-    The file schema comes from one footer; city_id is pinned to string so that a numeric-looking
-    path value keeps its leading zeros. Needs spark.sql.legacy.parquet.nanosAsLong for files
+    The file schema comes from one footer. Needs spark.sql.legacy.parquet.nanosAsLong for files
     written with nanosecond timestamps.
     """
-    found = spark.read.parquet(path).schema
-    pinned = T.StructType(
+    layout = pin_city(spark.read.parquet(path).schema)
+    return convert_nanos(spark.read.schema(layout).parquet(path))
+
+
+def pin_city(found: T.StructType) -> T.StructType:
+    """The schema with city_id as string: a numeric-looking path value keeps its leading zeros."""
+    return T.StructType(
         [T.StructField("city_id", T.StringType()) if f.name == "city_id" else f for f in found]
     )
-    return convert_nanos(spark.read.schema(pinned).parquet(path))
 
 
 def convert_nanos(df: DataFrame) -> DataFrame:
@@ -54,8 +57,7 @@ def register_external(
     by = ", ".join(f"`{name}`" for name in partitions.names)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{path}'")
-    if spark.conf.get("spark.sql.catalogImplementation") == "hive":
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     return spark.table(table)
 
 
