@@ -102,14 +102,14 @@ def air_daily(
     sensor's day: overlapping landings otherwise count more than once.
     """
     has_value = F.col("normalised_value").isNotNull()
-    rows = staged
-    if dedupe:
-        rows = dedupe_latest(
-            staged, ["city_id", "sensor_id", "parameter_name", "observation_date"], "ingested_at",
-            ["normalised_value", "measurement_count"],
-        )
+
+    def latest(rows: DataFrame) -> DataFrame:
+        keys = [*CITY_DAY, "sensor_id", "parameter_name"]
+        tiebreak = ["normalised_value", "measurement_count"]
+        return dedupe_latest(rows, keys, "ingested_at", tiebreak).filter(has_value)
+
     stats = aggregate_with_percentile(
-        rows.filter(has_value),
+        staged if dedupe else staged.filter(has_value),
         [*CITY_DAY, "parameter_name"],
         "normalised_value",
         0.5,
@@ -125,7 +125,7 @@ def air_daily(
         ],
         {"sensor_count": "sensor_id"},
         CITY_DAY,
-        staged.filter(has_value),
+        latest if dedupe else None,
         hot_group_rows,
     )
     return stats.withColumn("label", F.explode("labels")).select(

@@ -9,7 +9,7 @@ Every step aggregates partially before it shuffles and spreads one group over al
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -33,20 +33,22 @@ def aggregate_with_percentile(
     aggs: Sequence[Column] = (),
     distinct_counts: Mapping[str, str] | None = None,
     colocate: Sequence[str] | None = None,
-    gauge: DataFrame | None = None,
+    within: Callable[[DataFrame], DataFrame] | None = None,
     hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """groupBy(keys) with the interpolated percentile `q` of `value` as `alias`, plus `aggs`.
 
     `distinct_counts` maps names of further results to the columns whose distinct values to count.
     The rows are brought together by `colocate`, some or all of the keys: fewer keys let later
-    groupings and joins on them go without an exchange.
+    groupings and joins on them go without an exchange. `within` is applied to the rows after that
+    and before aggregating; it has to treat each such group by itself.
 
-    A count per group, over those columns only, comes first and runs at once; `gauge` is a cheaper
-    frame to count in, with at least the rows of `df`. Without hot groups the result is one exchange of the rows and one aggregation. Otherwise the hot keys are stored,
+    A count per group, over those columns only, comes first and runs at once. Without hot groups
+    the result is one exchange of the rows and one aggregation. Otherwise the hot keys are stored,
     so that Spark sees their size when it picks the join that splits the input.
     """
     keys, distinct = list(keys), dict(distinct_counts or {})
+    prepare = within or (lambda rows: rows)
     together = list(colocate or keys)
     percentile = F.expr(f"percentile_cont({q!r}) within group (order by `{value}`)").alias(alias)
     # No group here is large, so its distinct values fit in a set: cheaper than a second exchange.
@@ -55,15 +57,15 @@ def aggregate_with_percentile(
     def at_once(rows: DataFrame) -> DataFrame:
         # A percentile needs every value of its group, so aggregating before the exchange would
         # save nothing: bring the groups together first and aggregate once.
-        return rows.repartition(*together).groupBy(*keys).agg(percentile, *aggs, *sets)
+        return prepare(rows.repartition(*together)).groupBy(*keys).agg(percentile, *aggs, *sets)
 
-    hot = hot_groups(df if gauge is None else gauge, together, hot_group_rows)
+    hot = hot_groups(df, together, hot_group_rows)
     if hot.isEmpty():
         return at_once(df)
     hot = stored(hot, "hot-groups").alias("h")
     same = _same_keys(together, "d", "h")
     ordinary = at_once(df.alias("d").join(hot, same, "left_anti"))
-    large = df.alias("d").join(hot, same, "left_semi")
+    large = prepare(df.alias("d").join(hot, same, "left_semi"))
     picked = rank_percentile(large, keys, value, q, alias)
     spread = [*aggs, *[F.count_distinct(c).alias(n) for n, c in distinct.items()]]
     if spread:

@@ -136,7 +136,8 @@ def test_air_daily_median_and_counts(spark, limit):
         assert (row.sensor_count, row.total_measurements) == (3, 40)
 
 
-def test_landings_that_overlap_count_twice_unless_deduped(spark):
+@pytest.mark.parametrize("limit", [1_000_000, 1])
+def test_landings_that_overlap_count_twice_unless_deduped(spark, limit):
     df = W.stage_air(
         air(
             spark,
@@ -145,8 +146,8 @@ def test_landings_that_overlap_count_twice_unless_deduped(spark):
             air_row(30.0, sensor=2),
         )
     )
-    kept = D.air_daily(df).first()
-    deduped = D.air_daily(df, dedupe=True).first()
+    kept = D.air_daily(df, hot_group_rows=limit).first()
+    deduped = D.air_daily(df, dedupe=True, hot_group_rows=limit).first()
     assert (kept.median_value, kept.total_measurements, kept.sensor_count) == (14.0, 30, 2)
     assert (deduped.median_value, deduped.total_measurements, deduped.sensor_count) == (22.0, 20, 2)
 

@@ -567,6 +567,23 @@ def _oracles() -> dict[str, str]:
             "(SELECT weather_sk, count(*) AS rows FROM fct_weather GROUP BY weather_sk)",
             ["fct_weather"], "WHERE rows > 1",
         ),
+        "missing_measures": _sql(_STAGED, "staged", ["staged"], "WHERE temperature_c IS NULL"),
+        "unknown_pollutants": _sql(
+            _STAGED_AIR, "staged_air", ["staged_air"],
+            "WHERE parameter_name NOT IN ('pm25', 'pm10', 'o3', 'no2', 'so2', 'co')",
+        ),
+        "humidity_out_of_range": _sql(
+            _STAGED, "staged", ["staged"],
+            "WHERE relative_humidity_pct < 0 OR relative_humidity_pct > 100",
+        ),
+        "scan_external": _sql(
+            "city_id, temperature_2m:num, observation_ts:ts, year, month, day",
+            "(SELECT *, year(observation_ts) AS year, month(observation_ts) AS month,"
+            " day(observation_ts) AS day FROM event_weather)",
+            ["event_weather"],
+        ),
+        "seed_csv": _sql(dim, f"({_dim('supplier_cities')})", ["supplier_cities"]),
+        "climate_job": _sql(rolled, "rolled", ["rolled"]),
         "hourly_payload": f"""SELECT {city} AS city_id, n_name AS city_name,
             cast(n_nationkey * 150 AS bigint) AS elevation_m,
             round(l_extendedprice / 2797 + h, 6) AS temperature_2m, cast(NULL AS double) AS rain,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolith import schemas
+from aerolith import fixed, schemas
 from aerolith.functions import columns as C
 from aerolith.operators import climate, daily as D, percentile, quality
 from aerolith.plans import batch, reports, warehouse as W
@@ -134,6 +134,20 @@ def duplicate_keys(spark, d):
     return quality.failing(_fct_weather(spark, d), quality.unique("weather_sk"))
 
 
+def missing_measures(spark, d):
+    return quality.failing(_staged(spark, d), quality.not_null("temperature_c"))
+
+
+def unknown_pollutants(spark, d):
+    check = quality.accepted_values("parameter_name", fixed.POLLUTANTS)
+    return quality.failing(W.stage_air(roles.air(spark, d)), check).drop("ingested_at")
+
+
+def humidity_out_of_range(spark, d):
+    check = quality.accepted_range("relative_humidity_pct", 0, 100, "warn")
+    return quality.failing(_staged(spark, d), check)
+
+
 # --- JSON landing -------------------------------------------------------------------------------
 
 
@@ -258,6 +272,32 @@ def scan_days(spark, d):
     )
 
 
+def scan_external(spark, d):
+    """An external table over the stored daily layout."""
+    path = scratch_path(spark, "weather-external")
+    raw = scan.convert_nanos(roles.event_weather(spark, d))
+    at = F.col("observation_ts")
+    parted = raw.withColumns({"year": F.year(at), "month": F.month(at), "day": F.day(at)})
+    sinks.write_parquet(parted, path, schemas.DAY_PATH.names, ["city_id"])
+    name = "aerolith_" + path.rsplit("-", 1)[1]
+    table = scan.register_external(spark, name, path, schemas.weather_raw(), schemas.DAY_PATH)
+    return table.select("city_id", "temperature_2m", "observation_ts", "year", "month", "day")
+
+
+def seed_csv(spark, d):
+    """The seed through CSV with declared types, then the dimension."""
+    path = scratch_path(spark, "cities")
+    roles.supplier_cities(spark, d).write.option("header", True).csv(path)
+    return W.dim_cities(scan.read_cities(spark, path))
+
+
+def climate_job(spark, d):
+    """The batch job end to end: its stored rolling figures, read back."""
+    out = scratch_path(spark, "climate")
+    batch.climate_job(spark, roles.weather(spark, d), out)
+    return spark.read.parquet(f"{out}/rolling_30d")
+
+
 def _event_days(spark, d):
     return roles.table(spark, d, "events").select(
         "event_id", "event_type", "value", F.to_date("ts").alias("day")
@@ -378,6 +418,9 @@ QUERIES = {
     "quality_report": quality_report,
     "unknown_cities": unknown_cities,
     "duplicate_keys": duplicate_keys,
+    "missing_measures": missing_measures,
+    "unknown_pollutants": unknown_pollutants,
+    "humidity_out_of_range": humidity_out_of_range,
     "hourly_payload": hourly_payload,
     "station_payload": station_payload,
     "measurement_payload": measurement_payload,
@@ -386,6 +429,9 @@ QUERIES = {
     "target_day": target_day,
     "scan_nanos": scan_nanos,
     "scan_days": scan_days,
+    "scan_external": scan_external,
+    "seed_csv": seed_csv,
+    "climate_job": climate_job,
     "sink_dynamic_overwrite": sink_dynamic_overwrite,
     "sink_land_rerun": sink_land_rerun,
     "sink_table_append": sink_table_append,
