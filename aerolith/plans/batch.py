@@ -76,7 +76,12 @@ def build_warehouse(
 
 
 def check_warehouse(
-    hist: DataFrame, daily: DataFrame, air: DataFrame, cities: DataFrame, marts: dict[str, DataFrame]
+    hist: DataFrame,
+    daily: DataFrame,
+    air: DataFrame,
+    cities: DataFrame,
+    marts: dict[str, DataFrame],
+    stream: DataFrame | None = None,
 ) -> DataFrame:
     """The report over raw, staged and stored models."""
     models = {
@@ -85,7 +90,7 @@ def check_warehouse(
         ),
         "raw_air_quality": air,
         "cities": cities,
-        "stg_weather": W.stage_weather(hist, daily),
+        "stg_weather": W.stage_weather(hist, daily, stream),
         "stg_air_quality": W.stage_air(air),
         **marts,
     }

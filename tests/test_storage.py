@@ -204,6 +204,25 @@ def test_warehouse_job(spark, path):
     assert spark.read.parquet(path("dw") + "/dim_cities").count() == 8
 
 
+def test_warehouse_job_with_live_events(spark, path):
+    land_inputs(spark, path)
+    os.makedirs(path("in"))
+    with open(path("in") + "/1.json", "w") as f:
+        event = {"event_id": "e", "city_id": "BOG", "city_name": "BOG", "temperature_c": 44.0,
+                 "observed_ts": "2024-02-02T12:00"}
+        f.write(json.dumps(event) + "\n")
+    stream = ["stream", "--folder", path("in"), "--out", path("live"), "--checkpoint", path("p"), "--once"]
+    job = ["warehouse", "--weather", path("hist"), "--weather-daily", path("day"), "--air", path("air"),
+           "--stream", path("live"), "--out", path("dw")]
+    for line in (stream, job):
+        args = cli.parser().parse_args(line)
+        args.run(spark, args)
+    days = spark.read.parquet(path("dw") + "/fct_weather_daily").collect()
+    day = next(r for r in days if r.city_id == "BOG" and str(r.observation_date) == "2024-02-02")
+    # The event was consumed after the noon row was ingested, so it replaces it.
+    assert (day.hour_count, day.max_temperature_c) == (2, 44.0)
+
+
 def test_warehouse_job_fails_on_an_error_check(spark, path):
     land_inputs(spark, path)
     sinks.land_day(air(spark, air_row(1.0, city="XXX")), path("air"), "2024-02-04")

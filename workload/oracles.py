@@ -482,7 +482,8 @@ def _oracles() -> dict[str, str]:
             f"(SELECT *, {_UNIT} AS normalised_units FROM staged_air)",
             ["staged_air"],
         ),
-        "surrogate_key": f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+        "surrogate_key": f"""SELECT l_orderkey, cast(l_linenumber AS bigint) AS l_linenumber,
+            l_partkey, l_suppkey,
             {_key("l_orderkey", "l_linenumber")} AS two_part_key,
             {_key("nullif(l_returnflag, 'R')", "cast(l_shipdate AS date)", "l_suppkey")}
               AS three_part_key FROM lineitem""",
@@ -643,8 +644,8 @@ def _oracles() -> dict[str, str]:
         "sink_dynamic_overwrite": """SELECT event_id, event_type,
             round(value + CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END, 6) AS value,
             strftime(ts, '%Y-%m-%d') AS day FROM events""",
-        "sink_land_rerun": """SELECT event_id, event_type, value, 2024 AS year, 1 AS month, 10 AS day
-            FROM events WHERE cast(ts AS date) = DATE '2024-01-10'""",
+        "sink_land_rerun": """SELECT event_id, event_type, value,
+            year(ts) AS year, month(ts) AS month, day(ts) AS day FROM events WHERE cast(ts AS date) = DATE '2024-01-10'""",
         "sink_table_append": """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type,
             2 * count(*) AS events, max(value) AS max_value FROM events GROUP BY ALL""",
         "mart_slice": _sql(
