@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,14 +31,10 @@ def build_session(app: str = "aerolith", master: str | None = None, **conf: str)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder path below the shared folder of the cluster.
-
-    Only where the session names no shared folder (tests, a laptop) a local one is made.
-    """
+    """A new folder path below the shared folder that the session names in spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="aerolith-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
