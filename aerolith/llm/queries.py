@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolith.llm import toxicity
+from aerolith.llm import quality, toxicity
 from aerolith.llm.common import table
 
 
@@ -12,7 +12,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.flag_toxic(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return report.drop("n_lines", "n_capitals")
+
+
 QUERIES = {
+    "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES: dict[str, str] = {}
