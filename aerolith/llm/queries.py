@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolith.llm import quality, toxicity
+from aerolith.llm import quality, simhash, toxicity
 from aerolith.llm.common import table
 
 
@@ -12,12 +12,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.flag_toxic(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    fingerprint = simhash.fingerprint_text(F.col("fp")).alias("fingerprint")
+    return classes.select("doc_id", fingerprint, "component_id")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return report.drop("n_lines", "n_capitals")
 
 
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
 }
