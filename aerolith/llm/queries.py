@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolith.llm import quality, simhash, toxicity
+from aerolith.llm import mixing, oracles, quality, simhash, toxicity
 from aerolith.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", fingerprint, "component_id")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return report.drop("n_lines", "n_capitals")
@@ -25,7 +29,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash": op3_simhash,
+    "op4_mixing": op4_mixing,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op4_mixing": oracles.MIXING,
+}
