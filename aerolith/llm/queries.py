@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolith.llm import mixing, oracles, quality, simhash, toxicity
+from aerolith.llm import mixing, oracles, packing, quality, simhash, toxicity
 from aerolith.llm.common import table
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.flag_toxic(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -22,6 +31,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return report.drop("n_lines", "n_capitals")
@@ -30,6 +43,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
+    "op6_packing": op6_packing,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
 }
