@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -11,19 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 WHITE = r"\x20\x09-\x0D"
 WORD = rf"[^{WHITE}]+"
 
-# Groups are dealt over so many buckets when totals run along them.
-BUCKETS = 4096
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Equality of the named columns that also matches nulls, as grouping does."""
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
-
-
 def let(value: Column, body) -> Column:
     """`body` of `value`, which is evaluated once however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -32,24 +23,48 @@ def let(value: Column, body) -> Column:
 def running_total(
     df: DataFrame, group: str, bucket: str, order: Sequence[str], value: Column, alias: str
 ) -> DataFrame:
-    """Add `alias`: the sum of `value` over the rows of the group before this one.
+    """Add `alias`: the sum of `value` over the rows of the group before this one."""
+    return running(df, group, bucket, order, {alias: (F.sum, lambda a, b: a + b, value)})
 
-    Rows go by bucket, then by `order`. No task sees more of a group than one bucket, whatever its
-    share of the rows: bucket totals come first, then each bucket starts at what is before it.
-    `group` and `bucket` must not be null, and the frame is read twice, so it should be stored.
-    Rows equal in bucket and order may take each other's places.
+
+def running(
+    df: DataFrame,
+    group: str,
+    bucket: str,
+    order: Sequence[str],
+    columns: dict[str, tuple[Callable, Callable, Column]],
+) -> DataFrame:
+    """Add columns that gather a value over the rows of the group before this one, 0 if none.
+
+    Each column is (aggregate, how to combine two of its results, value). Rows go by bucket, then by
+    `order`. No task sees more of a group than one bucket, whatever its share of the rows: bucket
+    totals come first, then each bucket starts at what is before it. The frame is read twice, so it
+    should be stored. Rows equal in bucket and order may take each other's places.
     """
     before = (Window.unboundedPreceding, -1)
-    totals = df.groupBy(group, bucket).agg(F.sum(value).alias("_sum"))
-    along = Window.partitionBy(group).orderBy(bucket).rowsBetween(*before)
+    along = Window.partitionBy("_g").orderBy("_b").rowsBetween(*before)
+    inside = Window.partitionBy(group, bucket).orderBy(*order).rowsBetween(*before)
+    zero = F.lit(0).cast("long")
+    totals = df.groupBy(F.col(group).alias("_g"), F.col(bucket).alias("_b")).agg(
+        *[gather(value).alias(f"_all_{name}") for name, (gather, _, value) in columns.items()]
+    )
     starts = totals.select(
-        F.col(group).alias("_g"),
-        F.col(bucket).alias("_b"),
-        F.coalesce(F.sum("_sum").over(along), F.lit(0)).alias("_start"),
+        "_g",
+        "_b",
+        *[
+            F.coalesce(gather(f"_all_{name}").over(along), zero).alias(f"_start_{name}")
+            for name, (gather, _, _) in columns.items()
+        ],
     )
-    inside = Window.partitionBy(group, bucket).orderBy(*order).rowsBetween(*before)
-    placed = df.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    joined = placed.join(starts, (F.col(group) == F.col("_g")) & (F.col(bucket) == F.col("_b")))
-    return joined.withColumn(alias, F.col("_start") + F.col("_inside")).drop(
-        "_g", "_b", "_start", "_inside"
+    placed = df.withColumns({
+        f"_in_{name}": F.coalesce(gather(value).over(inside), zero)
+        for name, (gather, _, value) in columns.items()
+    })
+    joined = placed.join(starts, F.col(group).eqNullSafe(F.col("_g")) & (F.col(bucket) == F.col("_b")))
+    return joined.select(
+        *[df[c] for c in df.columns],
+        *[
+            combine(F.col(f"_start_{name}"), F.col(f"_in_{name}")).alias(name)
+            for name, (_, combine, _) in columns.items()
+        ],
     )

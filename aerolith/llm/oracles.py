@@ -43,3 +43,80 @@ SELECT doc_id, size, source_size, target, CAST(first_ + second_ AS BIGINT) AS ta
        CASE WHEN first_ > 0 THEN CAST(before + size AS DOUBLE) / weight END AS virtual_finish
 FROM taken
 """
+
+CHAT = r"""
+WITH messages AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+), turns AS (
+  SELECT conv_id, turn, count(*) AS n,
+         string_agg(turn || chr(1) || role || chr(1) || text, chr(2) ORDER BY role, text) AS said
+  FROM messages GROUP BY conv_id, turn
+), prefixes AS (
+  SELECT conv_id, turn, sum(n) OVER w AS n, string_agg(said, chr(2)) OVER w AS said
+  FROM turns
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)
+), wholes AS (
+  SELECT conv_id, max(n) AS n, arg_max(said, n) AS said FROM prefixes GROUP BY conv_id
+), groups_ AS (
+  SELECT said, min(conv_id) AS conv_id, CAST(max(n) AS BIGINT) AS n_messages, count(*) AS n_copies
+  FROM wholes GROUP BY said
+), chosen AS (
+  SELECT g.* FROM groups_ g
+  WHERE NOT EXISTS (
+    SELECT 1 FROM prefixes p JOIN wholes w USING (conv_id)
+    WHERE p.said = g.said AND w.n > g.n_messages)
+)
+SELECT c.conv_id, CAST(floor(m.turn / 1024.0) AS BIGINT) AS segment, c.n_messages, c.n_copies,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
+                  ORDER BY turn, role, text) AS text
+FROM chosen c JOIN messages m USING (conv_id)
+GROUP BY ALL
+"""
+
+URLS = r"""
+WITH captures AS (
+  SELECT page_id, DATE '2024-01-01' + CAST(((page_id % 730) + 730) % 730 AS INTEGER) AS fetch_date,
+    nullif(rtrim(lower(regexp_extract(url,
+      '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '.'), '') AS host
+  FROM pages
+), hosts AS (
+  SELECT DISTINCT host, string_split(host, '.') AS labels FROM captures WHERE host IS NOT NULL
+), keyed AS (
+  SELECT host, unnest(CASE WHEN length(host) <= 253
+    THEN [array_to_string(labels[i:], '.') FOR i IN range(1, greatest(len(labels), 2))]
+    ELSE [host] END) AS key
+  FROM hosts
+), digits AS (
+  SELECT key, [CAST('0x' || d AS INTEGER) FOR d IN string_split(md5(key), '')] AS x
+  FROM (SELECT DISTINCT key FROM keyed)
+), listed AS (
+  SELECT key, ['malware', 'spam', 'adult'][(x[9] * 16 + x[10]) % 3 + 1] AS list,
+         CASE WHEN x[11] < 6 THEN 'host' ELSE 'domain' END AS scope,
+         (x[2] * 256 + x[3] * 16 + x[4]) % 600 AS first_,
+         x[5] * 16 + x[6] AS stay, x[7] * 16 + x[8] AS back
+  FROM digits WHERE x[1] < 8
+), entries AS (
+  SELECT list, scope, key, first_ AS o, TRUE AS active FROM listed
+  UNION ALL SELECT list, scope, key, first_ + 20 + stay, FALSE FROM listed
+  UNION ALL SELECT list, scope, key, first_ + 300 + back, TRUE FROM listed
+), daily AS (
+  SELECT list, scope, key, DATE '2024-01-01' + CAST(o AS INTEGER) AS valid_from, bool_or(active) AS active
+  FROM entries GROUP BY ALL
+), intervals AS (
+  SELECT *, lead(valid_from) OVER (PARTITION BY list, scope, key ORDER BY valid_from) AS valid_to
+  FROM daily
+), hits AS (
+  SELECT c.host, c.fetch_date, i.list, i.scope, i.key, i.valid_from, i.valid_to,
+    row_number() OVER (PARTITION BY c.host, c.fetch_date
+      ORDER BY length(i.key) DESC, i.scope <> 'host', i.list) AS rank
+  FROM (SELECT DISTINCT host, fetch_date FROM captures) c
+  JOIN keyed k USING (host)
+  JOIN intervals i ON i.key = k.key AND i.active AND c.fetch_date >= i.valid_from
+    AND (i.valid_to IS NULL OR c.fetch_date < i.valid_to)
+    AND (i.scope = 'domain' OR i.key = c.host)
+)
+SELECT c.page_id, c.host, c.fetch_date, h.host IS NOT NULL AS blocked,
+       h.list, h.scope, h.key, h.valid_from, h.valid_to
+FROM captures c LEFT JOIN hits h ON c.host = h.host AND c.fetch_date = h.fetch_date AND h.rank = 1
+"""

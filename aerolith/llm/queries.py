@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolith.llm import mixing, oracles, packing, quality, simhash, toxicity
+from aerolith.llm import chat, mixing, oracles, packing, quality, simhash, toxicity, urls
 from aerolith.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -21,6 +21,50 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.flag_toxic(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op1_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse_snapshots(table(spark, sf_dir, "conversations"))
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return urls.filter_captures(fetched(pages), dated_entries(pages))
+
+
+def fetched(pages: DataFrame) -> DataFrame:
+    """The table has no fetch time: pages are taken as fetched one a day over two years, in turn."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(730)).cast("int"))
+    return pages.select("page_id", "url", day.alias("fetch_date"))
+
+
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """Lists made from the pages' own hosts and their parents, as the tables hold none.
+
+    The digits of a key's MD5 decide whether it is listed, where, and when it comes, goes and comes
+    back, so the lists grow with the hosts.
+    """
+    hosts = pages.select(urls.host_of(F.col("url")).alias("host")).distinct()
+    keys = hosts.filter("host IS NOT NULL").select(F.explode(urls.keys_of(F.col("host"))).alias("key"))
+    digits = lambda at, n: F.conv(F.substring("md5", at, n), 16, 10).cast("int")
+    listed = keys.distinct().withColumn("md5", F.md5("key")).filter(digits(1, 1) < 8)
+    first = digits(2, 3) % 600
+    entry = lambda day, action: F.struct(day.alias("offset"), F.lit(action).alias("action"))
+    entries = F.array(
+        entry(first, urls.ADD),
+        entry(first + 20 + digits(5, 2), urls.REMOVE),
+        entry(first + 300 + digits(7, 2), urls.ADD),
+    )
+    names = F.array(F.lit("malware"), F.lit("spam"), F.lit("adult"))
+    return listed.select(
+        F.get(names, digits(9, 2) % 3).alias("list"),
+        F.when(digits(11, 1) < 6, urls.HOST).otherwise(urls.DOMAIN).alias("scope"),
+        "key",
+        F.inline(entries),
+    ).select(
+        "list", "scope", "key", "action",
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("offset")).alias("day"),
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     fingerprint = simhash.fingerprint_text(F.col("fp")).alias("fingerprint")
@@ -41,12 +85,16 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_snapshots": op1_chat_snapshots,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
+    "op5_url_filters": op5_url_filters,
     "op6_packing": op6_packing,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES = {
+    "op1_chat_snapshots": oracles.CHAT,
+    "op5_url_filters": oracles.URLS,
     "op4_mixing": oracles.MIXING,
 }
