@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolith.llm import chat, mixing, oracles, packing, quality, simhash, toxicity, urls
+from aerolith.llm import chat, mixing, neighbours, oracles, packing, quality, simhash, toxicity, urls
 from aerolith.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -79,6 +79,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return report.drop("n_lines", "n_capitals")
@@ -90,6 +95,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_url_filters": op5_url_filters,
     "op6_packing": op6_packing,
+    "op7_neighbours": op7_neighbours,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
 }
