@@ -125,12 +125,14 @@ class Nearest:
         for row, q in enumerate(some):
             have, have_ids = self.found[q]
             least = have[-1] if len(have) == self.k else -np.inf
-            line = rough[row]
+            line = np.where(vec_ids == self.ids[q], -np.inf, rough[row])
             if len(line) > self.k:
-                cut = np.partition(line, len(line) - self.k)[len(line) - self.k]
-                least = max(least, cut)
-            near = np.flatnonzero(line >= least - _SLACK * max(1.0, abs(least)) if np.isfinite(least) else line >= -np.inf)
-            near = near[vec_ids[near] != self.ids[q]]
+                least = max(least, np.partition(line, len(line) - self.k)[len(line) - self.k])
+            # Rough scores may be off in the last digits; exact ones decide.
+            keep = line > -np.inf
+            if np.isfinite(least):
+                keep &= line >= least - _SLACK * max(1.0, abs(least))
+            near = np.flatnonzero(keep)
             if not len(near):
                 continue
             all_scores = np.concatenate([have, scores(x[near], self.queries[q])])
