@@ -120,3 +120,20 @@ SELECT c.page_id, c.host, c.fetch_date, h.host IS NOT NULL AS blocked,
        h.list, h.scope, h.key, h.valid_from, h.valid_to
 FROM captures c LEFT JOIN hits h ON c.host = h.host AND c.fetch_date = h.fetch_date AND h.rank = 1
 """
+
+# DuckDB has SHA-1 in hexadecimal only: each five bits of it are a base32 character.
+WARC = r"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), bits AS (
+  SELECT *, [CAST('0x' || hex[i * 5 + 1 : i * 5 + 5] AS INTEGER) FOR i IN range(8)] AS twenty FROM payloads
+)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+  array_to_string(flatten([
+    ['ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(x >> shift) % 32 + 1] FOR shift IN [15, 10, 5, 0]]
+    FOR x IN twenty]), '') AS payload_digest,
+  CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
+FROM bits
+WINDOW same AS (PARTITION BY payload)
+"""

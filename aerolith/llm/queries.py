@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolith.llm import chat, mixing, neighbours, oracles, packing, quality, simhash, toxicity, urls
+from aerolith.llm import chat, licences, mixing, neighbours, oracles, packing, quality, simhash, toxicity, urls, warc
 from aerolith.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -25,6 +25,14 @@ def op1_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse_snapshots(table(spark, sf_dir, "conversations"))
 
 
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return urls.filter_captures(fetched(pages), dated_entries(pages))
@@ -91,16 +99,19 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_snapshots": op1_chat_snapshots,
+    "op2_warc_index": op2_warc_index,
     "op3_simhash": op3_simhash,
     "op4_mixing": op4_mixing,
     "op5_url_filters": op5_url_filters,
     "op6_packing": op6_packing,
     "op7_neighbours": op7_neighbours,
+    "op8_licences": op8_licences,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
 }
 ORACLES = {
     "op1_chat_snapshots": oracles.CHAT,
     "op5_url_filters": oracles.URLS,
+    "op2_warc_index": oracles.WARC,
     "op4_mixing": oracles.MIXING,
 }
