@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from aerolith.fixed import POLLUTANTS
 from aerolith.operators.dedupe import dedupe_latest
-from aerolith.operators.percentile import aggregate_with_percentile
-from aerolith.operators.skew import HOT_GROUP_ROWS, hot_groups
+from aerolith.operators.percentile import weighted_percentile
 
 CITY_DAY = ["city_id", "observation_date"]
 
@@ -58,24 +59,18 @@ def weather_daily(hourly: DataFrame) -> DataFrame:
     return _by_day(hourly, _WEATHER, F.max("ingested_at").alias("last_ingested_at"))
 
 
-def weather_daily_latest(staged: DataFrame, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """weather_latest and weather_daily in one exchange.
+def weather_daily_latest(staged: DataFrame) -> DataFrame:
+    """weather_latest and weather_daily: one plan, the same for days of any size.
 
-    Rows of a city's day are brought together once, and deduplicated and aggregated where they
-    are; the result is partitioned by city and day for the joins that follow. A count per city and
-    day comes first and runs at once. If a day turns out too large for one task, deduplication
-    shuffles by hour instead, with all but one row of an hour dropped before the exchange.
+    Deduplication goes by hour and drops copies before its exchange; the roll-up's exchange carries
+    partial aggregates of days only.
     """
     # Deduplication should shuffle no column that the roll-up does not read.
     rows = staged.select(
-        "city_id", "city_name", "observation_ts", *DAILY_INPUTS, "source_kind", "ingested_at",
-        F.to_date("observation_ts").alias("observation_date"),
+        "city_id", "city_name", "observation_ts", *DAILY_INPUTS, "source_kind", "ingested_at"
     )
-    if hot_groups(rows, CITY_DAY, hot_group_rows).isEmpty():
-        rows = rows.repartition(*CITY_DAY)
     order = ["source_kind", *DAILY_INPUTS]
-    hours = dedupe_latest(rows, [*CITY_DAY, "observation_ts"], "ingested_at", order)
-    return weather_daily(hours)
+    return weather_daily(dedupe_latest(rows, ["city_id", "observation_ts"], "ingested_at", order))
 
 
 def batch_daily(raw: DataFrame) -> DataFrame:
@@ -92,54 +87,50 @@ def _by_day(df: DataFrame, measures: list, *more: Column) -> DataFrame:
     )
 
 
-def air_daily(
-    staged: DataFrame, dedupe: bool = False, hot_group_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def air_daily(staged: DataFrame, dedupe: bool = False) -> DataFrame:
     """Sensor readings to one row per city, day and pollutant, with the exact median.
 
     Statistics are taken over (city, day, pollutant); a second city name or unit for the same
     group repeats them in a row of its own. `dedupe` first keeps only the latest landing of each
     sensor's day: overlapping landings otherwise count more than once.
+
+    Readings that agree in sensor, value and names are counted first, partially before the exchange;
+    median and other figures both start from that one exchange.
     """
-    has_value = F.col("normalised_value").isNotNull()
-
-    def latest(rows: DataFrame) -> DataFrame:
-        keys = [*CITY_DAY, "sensor_id", "parameter_name"]
-        tiebreak = ["normalised_value", "measurement_count"]
-        return dedupe_latest(rows, keys, "ingested_at", tiebreak).filter(has_value)
-
-    stats = aggregate_with_percentile(
-        staged if dedupe else staged.filter(has_value),
-        [*CITY_DAY, "parameter_name"],
-        "normalised_value",
-        0.5,
-        "median_value",
-        [
-            F.avg("normalised_value").alias("mean_value"),
-            F.min("normalised_value").alias("min_value"),
-            F.max("normalised_value").alias("max_value"),
-            F.sum("measurement_count").alias("total_measurements"),
-            # A usable reading's unit follows from its pollutant, so these are the names one city
-            # goes by within one day.
-            F.collect_set(F.struct("city_name", "parameter_units")).alias("labels"),
-        ],
-        {"sensor_count": "sensor_id"},
-        CITY_DAY,
-        latest if dedupe else None,
-        hot_group_rows,
+    keys = [*CITY_DAY, "parameter_name"]
+    rows = staged
+    if dedupe:
+        rows = dedupe_latest(
+            staged, [*CITY_DAY, "sensor_id", "parameter_name"], "ingested_at",
+            ["normalised_value", "measurement_count"],
+        )
+    counted = (
+        rows.filter(F.col("normalised_value").isNotNull())
+        .groupBy(*keys, F.col("normalised_value").alias("v"), "sensor_id", "city_name", "parameter_units")
+        .agg(F.count(F.lit(1)).alias("w"), F.sum("measurement_count").alias("m"))
+    )
+    figures = counted.groupBy(*keys).agg(
+        (F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias("mean_value"),
+        F.min("v").alias("min_value"),
+        F.max("v").alias("max_value"),
+        F.count_distinct("sensor_id").alias("sensor_count"),
+        F.sum("m").alias("total_measurements"),
+        # A usable reading's unit follows from its pollutant, so these are the names one city goes
+        # by within one day.
+        F.collect_set(F.struct("city_name", "parameter_units")).alias("labels"),
+    )
+    medians = weighted_percentile(counted, keys, 0.5, "median_value")
+    same = reduce(
+        lambda a, b: a & b, [F.col(f"f.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
     )
-    return stats.withColumn("label", F.explode("labels")).select(
-        "city_id",
-        "label.city_name",
-        "observation_date",
-        "parameter_name",
-        "label.parameter_units",
-        "median_value",
-        "mean_value",
-        "min_value",
-        "max_value",
-        "sensor_count",
-        "total_measurements",
+    return (
+        figures.alias("f").join(medians.alias("m"), same)
+        .withColumn("label", F.explode("f.labels"))
+        .select(
+            "f.city_id", "label.city_name", "f.observation_date", "f.parameter_name",
+            "label.parameter_units", "m.median_value", "f.mean_value", "f.min_value",
+            "f.max_value", "f.sensor_count", "f.total_measurements",
+        )
     )
 
 

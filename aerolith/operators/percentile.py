@@ -1,113 +1,64 @@
-"""Exact percentiles per group that stay safe when one group holds much of the data.
+"""Exact percentiles per group in one lazy plan that stays safe when a group holds much of the data.
 
-Spark's exact percentile keeps a map of all distinct values of a group in one task. That is the
-fastest way for ordinary groups, but not for one with billions of rows. Groups above
-`hot_group_rows` therefore go another way, which is exact too: count equal values first, then find
-the bucket of values that holds the wanted rank, and look only inside that bucket, a few times over.
-Every step aggregates partially before it shuffles and spreads one group over all tasks.
+Spark's exact percentile keeps a map of all distinct values of a group in one task. Here equal values
+are counted first, which the map side begins before any exchange. Counts per fine bucket of values
+tell which bucket holds the wanted rank, and only that bucket is looked into. No task brings a whole
+group together: one sees its bucket totals, another the distinct values of one bucket.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from aerolith.operators.skew import HOT_GROUP_ROWS, hot_groups
-from aerolith.session import stored
-
-# Narrowing steps: by magnitude (at most about 75,000 buckets a group), then twice by equal width.
-# A magnitude bucket spans 1/16 octave, so under 2**49 doubles; two splits by 2**14 leave < 2**21.
-_BUCKETS_PER_OCTAVE = 16
-_WIDTH_BUCKETS = 2**14
-_WIDTH_STEPS = 2
-
-
-def aggregate_with_percentile(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    q: float,
-    alias: str,
-    aggs: Sequence[Column] = (),
-    distinct_counts: Mapping[str, str] | None = None,
-    colocate: Sequence[str] | None = None,
-    within: Callable[[DataFrame], DataFrame] | None = None,
-    hot_group_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
-    """groupBy(keys) with the interpolated percentile `q` of `value` as `alias`, plus `aggs`.
-
-    `distinct_counts` maps names of further results to the columns whose distinct values to count.
-    The rows are brought together by `colocate`, some or all of the keys: fewer keys let later
-    groupings and joins on them go without an exchange. `within` is applied to the rows after that
-    and before aggregating; it has to treat each such group by itself.
-
-    A count per group, over those columns only, comes first and runs at once. Without hot groups
-    the result is one exchange of the rows and one aggregation. Otherwise the hot keys are stored,
-    so that Spark sees their size when it picks the join that splits the input.
-    """
-    keys, distinct = list(keys), dict(distinct_counts or {})
-    prepare = within or (lambda rows: rows)
-    together = list(colocate or keys)
-    percentile = F.expr(f"percentile_cont({q!r}) within group (order by `{value}`)").alias(alias)
-    # No group here is large, so its distinct values fit in a set: cheaper than a second exchange.
-    sets = [F.size(F.collect_set(c)).cast("bigint").alias(n) for n, c in distinct.items()]
-
-    def at_once(rows: DataFrame) -> DataFrame:
-        # A percentile needs every value of its group, so aggregating before the exchange would
-        # save nothing: bring the groups together first and aggregate once.
-        return prepare(rows.repartition(*together)).groupBy(*keys).agg(percentile, *aggs, *sets)
-
-    hot = hot_groups(df, together, hot_group_rows)
-    if hot.isEmpty():
-        return at_once(df)
-    hot = stored(hot, "hot-groups").alias("h")
-    same = _same_keys(together, "d", "h")
-    ordinary = at_once(df.alias("d").join(hot, same, "left_anti"))
-    large = prepare(df.alias("d").join(hot, same, "left_semi"))
-    picked = rank_percentile(large, keys, value, q, alias)
-    spread = [*aggs, *[F.count_distinct(c).alias(n) for n, c in distinct.items()]]
-    if spread:
-        others = large.groupBy(*keys).agg(*spread).alias("a")
-        joined = others.join(picked.alias("p"), _same_keys(keys, "a", "p"), "left")
-        picked = joined.select(
-            *[F.col(f"{'p' if c == alias else 'a'}.{c}").alias(c) for c in ordinary.columns]
-        )
-    return ordinary.unionByName(picked)
+# A bucket spans 1/1024 octave, 0.07 % of a value: readings of usual precision have a few distinct
+# values in each, and a group spread over ten octaves has about 10,000 bucket totals.
+_BUCKETS_PER_OCTAVE = 1024
+_UPTO = (Window.unboundedPreceding, Window.currentRow)
 
 
 def rank_percentile(df: DataFrame, keys: Sequence[str], value: str, q: float, alias: str) -> DataFrame:
-    """Exact interpolated percentile by narrowing; no task ever holds a whole group.
+    """Exact interpolated percentile `q` of the rows' `value` per group, NULL values left out.
 
-    For few, large groups. The counted values and the buckets chosen in each step (two a group) are
-    stored in the shared folder, so the input is read once and each step is a small plan of its
-    own. Groups without a non-NULL value are absent from the result.
+    Groups without a non-NULL value are absent from the result.
     """
-    keys = list(keys)
     v = F.col(value).cast("double").alias("v")
-    counted = stored(
-        df.filter(F.col(value).isNotNull()).groupBy(*keys, v).agg(F.count(F.lit(1)).alias("w")),
-        "counted-values",
-    )
-    size = counted.groupBy(*keys).agg(F.sum("w").alias("n"))
-    position = (F.col("n") - 1) * F.lit(float(q))
-    low, high = F.floor(position), F.ceil(position)
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, v).agg(F.count(F.lit(1)).alias("w"))
+    return weighted_percentile(counted, keys, q, alias)
+
+
+def weighted_percentile(counted: DataFrame, keys: Sequence[str], q: float, alias: str) -> DataFrame:
+    """The same from counted values: rows of the keys, a double `v` and how often it occurs, `w`.
+
+    A value of a group may have several rows.
+    """
+    keys = list(keys)
+    rows = counted.select(*keys, "v", "w", _magnitude(F.col("v")).alias("b"))
+    totals = rows.groupBy(*keys, "b").agg(F.sum("w").alias("bw"))
+    group = Window.partitionBy(*keys)
+    position = (F.sum("bw").over(group) - 1) * F.lit(float(q))
+    low, high = F.floor("position"), F.ceil("position")
     exact = low == high
     sides = F.array(
-        _side("low", low, F.when(exact, F.lit(1.0)).otherwise(high - position)),
-        _side("high", high, F.when(exact, F.lit(0.0)).otherwise(position - low)),
+        _side("low", low, F.when(exact, F.lit(1.0)).otherwise(high - F.col("position"))),
+        _side("high", high, F.when(exact, F.lit(0.0)).otherwise(F.col("position") - low)),
+    )
+    before = F.sum("bw").over(group.orderBy("b").rowsBetween(*_UPTO)) - F.col("bw")
+    wanted = (
+        totals.withColumns({"position": position, "before": before})
+        .select(*keys, "b", "bw", "before", F.inline(sides))
+        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("bw")))
+    )
+    hit = _same_keys(keys, "r", "w") & (F.col("r.b") == F.col("w.b"))
+    inside = rows.alias("r").join(wanted.alias("w"), hit).select(
+        *[F.col(f"r.{k}").alias(k) for k in keys],
+        F.col("r.v").alias("v"), F.col("r.w").alias("w"), F.col("w.side").alias("side"),
+        (F.col("w.rank") - F.col("w.before")).alias("rank"), F.col("w.share").alias("share"),
     )
-    wanted = size.select(*keys, F.inline(sides))
-
-    rows, group = counted.withColumn("b", _magnitude(F.col("v"))), keys
-    for _ in range(1 + _WIDTH_STEPS):
-        wanted = stored(_pick_bucket(rows, group, wanted), "buckets")
-        rows = _inside(rows, group, wanted)
-        group = [*keys, "side"]
-    order = Window.partitionBy(*group).orderBy("v")
-    upto = F.sum("w").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    found = rows.withColumn("upto", upto).filter(
+    upto = F.sum("w").over(Window.partitionBy(*keys, "side").orderBy("v").rowsBetween(*_UPTO))
+    found = inside.withColumn("upto", upto).filter(
         (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("w"))
     )
     # A side of weight 0 must not turn an infinite value into NaN.
@@ -119,63 +70,14 @@ def _side(name: str, rank: Column, share: Column) -> Column:
     return F.struct(F.lit(name).alias("side"), rank.alias("rank"), share.alias("share"))
 
 
-def _pick_bucket(rows: DataFrame, group: list[str], wanted: DataFrame) -> DataFrame:
-    """Per wanted rank: the bucket it lies in, that bucket's range, and the rank inside it.
-
-    The window runs over bucket totals, whose number per group is bounded by the step.
-    """
-    totals = rows.groupBy(*group, "b").agg(
-        F.sum("w").alias("bw"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    )
-    order = Window.partitionBy(*group).orderBy("b")
-    upto = F.sum("bw").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = totals.withColumn("upto", upto)
-    hit = (
-        _same_keys(group, "x", "w")
-        & (F.col("w.rank") < F.col("x.upto"))
-        & (F.col("w.rank") >= F.col("x.upto") - F.col("x.bw"))
-    )
-    keys = [k for k in group if k != "side"]
-    return ranked.alias("x").join(wanted.alias("w"), hit).select(
-        *[F.col(f"w.{k}").alias(k) for k in keys],
-        F.col("w.side").alias("side"),
-        (F.col("w.rank") - (F.col("x.upto") - F.col("x.bw"))).alias("rank"),
-        F.col("w.share").alias("share"),
-        F.col("x.b").alias("b"),
-        F.col("x.lo").alias("lo"),
-        F.col("x.hi").alias("hi"),
-    )
-
-
-def _inside(rows: DataFrame, group: list[str], wanted: DataFrame) -> DataFrame:
-    """Rows of the chosen buckets, with the equal-width bucket for the next step."""
-    hit = _same_keys(group, "r", "w") & (F.col("r.b") == F.col("w.b"))
-    keys = [k for k in group if k != "side"]
-    picked = rows.alias("r").join(wanted.alias("w"), hit).select(
-        *[F.col(f"r.{k}").alias(k) for k in keys],
-        F.col("w.side").alias("side"),
-        F.col("r.v").alias("v"),
-        F.col("r.w").alias("w"),
-        F.col("w.rank").alias("rank"),
-        F.col("w.share").alias("share"),
-        F.col("w.lo").alias("lo"),
-        F.col("w.hi").alias("hi"),
-    )
-    width = F.col("hi") - F.col("lo")
-    within = F.floor((F.col("v") - F.col("lo")) / width * _WIDTH_BUCKETS)
-    return picked.withColumn(
-        "b", F.when(F.col("hi") > F.col("lo"), within).otherwise(F.lit(0).cast("bigint"))
-    ).drop("lo", "hi")
-
-
 def _magnitude(v: Column) -> Column:
     """A bucket number that never falls as `v` rises, fine near 0 as well as for huge values."""
     size = F.abs(v)
-    code = F.floor(F.log2(size) * _BUCKETS_PER_OCTAVE) + 20_000
+    code = F.floor(F.log2(size) * _BUCKETS_PER_OCTAVE) + 2_000_000
     return (
-        F.when(F.isnan(v), F.lit(50_000).cast("bigint"))
+        F.when(F.isnan(v), F.lit(5_000_000).cast("bigint"))
         .when(v == 0, F.lit(0).cast("bigint"))
-        .when(size == float("inf"), F.signum(v).cast("bigint") * 40_000)
+        .when(size == float("inf"), F.signum(v).cast("bigint") * 4_000_000)
         .when(v > 0, code)
         .otherwise(-code)
     )

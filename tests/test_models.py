@@ -75,8 +75,7 @@ def test_latest_row_wins_and_ties_are_settled(spark):
     assert got == {"BOG": (11.0, "historical"), "MDE": (21.0, "daily"), "CLO": (9.0, "daily")}
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 1])
-def test_one_exchange_roll_up_equals_two_steps(spark, limit):
+def test_one_exchange_roll_up_equals_two_steps(spark):
     rows = [
         weather_row(ts=datetime(2024, 3, 5, h), temperature_2m=float(h), precipitation=0.5,
                     ingested=datetime(2024, 3, 6 + h % 2))
@@ -84,7 +83,7 @@ def test_one_exchange_roll_up_equals_two_steps(spark, limit):
     ]
     rows += [weather_row(ts=datetime(2024, 3, 5, 3), temperature_2m=99.0, ingested=datetime(2024, 4, 1))]
     df = staged(spark, *rows)
-    one = D.weather_daily_latest(df, hot_group_rows=limit).collect()
+    one = D.weather_daily_latest(df).collect()
     two = D.weather_daily(D.weather_latest(df)).collect()
     assert one == two and len(one) == 1
     assert one[0].hour_count == 24 and one[0].max_temperature_c == 99.0
@@ -118,8 +117,7 @@ def test_readings_are_normalised_and_impossible_ones_dropped(spark):
     }
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 1])
-def test_air_daily_median_and_counts(spark, limit):
+def test_air_daily_median_and_counts(spark):
     df = W.stage_air(
         air(
             spark,
@@ -128,7 +126,7 @@ def test_air_daily_median_and_counts(spark, limit):
             air_row(5.0, city="CLO", name="Cali"),
         )
     )
-    got = {(r.city_id, r.city_name): r for r in D.air_daily(df, hot_group_rows=limit).collect()}
+    got = {(r.city_id, r.city_name): r for r in D.air_daily(df).collect()}
     assert set(got) == {("BOG", "Bogota"), ("BOG", "Bogota D.C."), ("CLO", "Cali")}
     for name in ("Bogota", "Bogota D.C."):
         row = got["BOG", name]
@@ -136,8 +134,7 @@ def test_air_daily_median_and_counts(spark, limit):
         assert (row.sensor_count, row.total_measurements) == (3, 40)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 1])
-def test_landings_that_overlap_count_twice_unless_deduped(spark, limit):
+def test_landings_that_overlap_count_twice_unless_deduped(spark):
     df = W.stage_air(
         air(
             spark,
@@ -146,8 +143,8 @@ def test_landings_that_overlap_count_twice_unless_deduped(spark, limit):
             air_row(30.0, sensor=2),
         )
     )
-    kept = D.air_daily(df, hot_group_rows=limit).first()
-    deduped = D.air_daily(df, dedupe=True, hot_group_rows=limit).first()
+    kept = D.air_daily(df).first()
+    deduped = D.air_daily(df, dedupe=True).first()
     assert (kept.median_value, kept.total_measurements, kept.sensor_count) == (14.0, 30, 2)
     assert (deduped.median_value, deduped.total_measurements, deduped.sensor_count) == (22.0, 20, 2)
 

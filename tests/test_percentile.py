@@ -1,4 +1,4 @@
-"""Exact percentiles, by both ways, against numpy."""
+"""Exact percentiles, against numpy."""
 
 import math
 import random
@@ -7,8 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from aerolith.operators.percentile import aggregate_with_percentile, rank_percentile
-from pyspark.sql import functions as F
+from aerolith.operators.percentile import rank_percentile
 
 SCHEMA = "k string, v double"
 
@@ -47,19 +46,13 @@ def test_narrowing_is_exact(spark, q):
     check(got, expected(rows, q))
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 100, 1])
-def test_hot_groups_change_nothing(spark, limit):
-    rows = skewed_rows()
-    df = spark.createDataFrame(rows, SCHEMA)
-    result = aggregate_with_percentile(
-        df, ["k"], "v", 0.5, "p", [F.count(F.lit(1)).alias("n")], {"d": "v"}, hot_group_rows=limit
-    )
-    assert result.columns == ["k", "p", "n", "d"]
-    found = {r.k: r for r in result.collect()}
-    check({k: r.p for k, r in found.items() if r.p is not None}, expected(rows, 0.5))
-    assert found["null"].p is None and found["null"].n == 1 and found["null"].d == 0
-    assert found["copies"].n == 2000 and found["copies"].d == 1
-    assert found["tiny range"].d == 500
+def test_no_job_while_building_and_no_null_groups(spark):
+    df = spark.createDataFrame(skewed_rows(), SCHEMA)
+    tracker, group = spark.sparkContext.statusTracker(), "building"
+    spark.sparkContext.setJobGroup(group, group)
+    result = rank_percentile(df, ["k"], "v", 0.5, "p")
+    assert len(tracker.getJobIdsForGroup(group)) == 0
+    assert "null" not in {r.k for r in result.collect()}
 
 
 def test_infinite_values(spark):

@@ -488,12 +488,10 @@ def _oracles() -> dict[str, str]:
             {_key("nullif(l_returnflag, 'R')", "cast(l_shipdate AS date)", "l_suppkey")}
               AS three_part_key FROM lineitem""",
         "daily_rollup": _sql(days, "daily", ["daily"]),
-        "daily_rollup_hot_days": _sql(days, "daily", ["daily"]),
         "batch_daily": _sql(f"{_DAY}, {_num(_DOUBLES_BATCH)}, hour_count", "batch", ["batch"]),
         "row_count": "SELECT count(*) AS raw_rows FROM lineitem",
         "air_daily_median": _sql(air, "air_daily", ["air_daily"]),
         "air_daily_deduped": _sql(air, "air_daily_deduped", ["air_daily_deduped"]),
-        "air_daily_hot_groups": _sql(air, "air_daily", ["air_daily"]),
         "percentile_large_groups": """SELECT l_returnflag,
             round(quantile_cont(l_extendedprice, 0.95), 6) AS price_p95
             FROM lineitem GROUP BY l_returnflag""",

@@ -392,12 +392,10 @@ QUERIES = {
     "unit_normalise": unit_normalise,
     "surrogate_key": surrogate_key,
     "daily_rollup": lambda s, d: D.weather_daily_latest(_staged(s, d)),
-    "daily_rollup_hot_days": lambda s, d: D.weather_daily_latest(_staged(s, d), hot_group_rows=3),
     "batch_daily": _daily,
     "row_count": row_count,
     "air_daily_median": lambda s, d: D.air_daily(W.stage_air(roles.air(s, d))),
     "air_daily_deduped": lambda s, d: D.air_daily(W.stage_air(roles.air(s, d)), dedupe=True),
-    "air_daily_hot_groups": lambda s, d: D.air_daily(W.stage_air(roles.air(s, d)), hot_group_rows=3),
     "percentile_large_groups": percentile_large_groups,
     "pivot_pollutants": lambda s, d: D.pollutants_wide(_fct_air(s, d)),
     "dim_zone": lambda s, d: W.dim_cities(roles.supplier_cities(s, d)),
