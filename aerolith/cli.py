@@ -57,9 +57,11 @@ def land_air(spark: SparkSession, args: argparse.Namespace) -> None:
     sensors = payloads.sensors(payloads.read_payloads(spark, args.stations))
     documents = payloads.read_payloads(spark, args.documents)
     rows = payloads.measurements(documents, sensors, cities)
-    dated = rows.withColumn("day_", F.to_date("observation_date"))
-    window = scan.trailing_window(dated, args.day, args.days, on="day_").drop("day_")
-    sinks.land_day(window, args.out, args.day)
+    dated = rows.withColumn("day_", F.col("observation_date").try_cast("date"))
+    window = scan.trailing_window(dated, args.day, args.days, on="day_")
+    # Readings without a date land too, for the check that reports them.
+    landed = window.unionByName(dated.filter(F.col("day_").isNull())).drop("day_")
+    sinks.land_day(landed, args.out, args.day)
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -68,8 +70,9 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         source = sink.kafka_source(
             spark, args.servers, args.topic, args.batch_rows, args.batch_seconds, args.max_rows
         )
-        # The source itself waits for a full batch or the time limit; ask it every second.
-        trigger = {"processingTime": "1 second"}
+        # A source that waits for full batches has its own time limit: ask it every second.
+        seconds = 1 if args.batch_rows else args.batch_seconds
+        trigger = {"processingTime": f"{seconds} seconds"}
     else:
         source, trigger = sink.file_source(spark, args.folder), None
     if args.once:
@@ -114,6 +117,7 @@ def parser() -> argparse.ArgumentParser:
         sub = jobs.add_parser(run.__name__.replace("_", "-"), help=run.__doc__)
         for name in required:
             sub.add_argument(f"--{name}", required=True)
+        sub.add_argument("--scratch", help="shared folder for intermediate tables")
         sub.set_defaults(run=run)
         return sub
 
@@ -139,9 +143,9 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--servers", help="Kafka bootstrap servers")
     source.add_argument("--folder", help="folder that JSON lines are dropped into")
     sub.add_argument("--topic", default="weather.sensor.readings")
-    sub.add_argument("--batch-rows", type=int, default=100)
+    sub.add_argument("--batch-rows", type=int, help="wait for so many rows")
     sub.add_argument("--batch-seconds", type=int, default=30)
-    sub.add_argument("--max-rows", type=int, default=500)
+    sub.add_argument("--max-rows", type=int, help="at most so many rows a batch")
     sub.add_argument("--dead-letters", help="folder for events that cannot be used")
     sub.add_argument("--once", action="store_true", help="drain what is there, then end")
 
@@ -151,7 +155,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(build_session(), args)
+    conf = {"spark__checkpoint__dir": args.scratch} if args.scratch else {}
+    args.run(build_session(**conf), args)
 
 
 if __name__ == "__main__":

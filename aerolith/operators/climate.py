@@ -105,13 +105,12 @@ def _heat_runs(daily: DataFrame, q: float, min_run: int, calendar: bool) -> Data
     hot = F.coalesce("is_heat_day", F.lit(False)).cast("int")
     in_order = Window.partitionBy("city_id").orderBy("observation_date", "city_name")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hot_so_far = F.sum(hot).over(so_far)
     if calendar:
         # Consecutive hot days keep (day number - rank among hot days) the same.
-        run = F.when(hot == 1, F.unix_date("observation_date") - hot_so_far)
+        run = F.when(hot == 1, F.unix_date("observation_date") - F.sum(hot).over(so_far))
     else:
         # The number of other rows so far stays the same within a run.
-        run = F.row_number().over(in_order) - hot_so_far
+        run = F.sum(1 - hot).over(so_far)
     length = F.sum(hot).over(Window.partitionBy("city_id", "_run"))
     return (
         tagged.withColumn("_run", run)

@@ -51,7 +51,9 @@ def weighted_percentile(counted: DataFrame, keys: Sequence[str], q: float, alias
         .select(*keys, "b", "bw", "before", F.inline(sides))
         .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("bw")))
     )
-    hit = _same_keys(keys, "r", "w") & (F.col("r.b") == F.col("w.b"))
+    # Null-safe for the buckets too, which are never NULL: a filter inferred from plain equality
+    # would make this side's counting differ from that of the totals, and both read one exchange.
+    hit = _same_keys([*keys, "b"], "r", "w")
     inside = rows.alias("r").join(wanted.alias("w"), hit).select(
         *[F.col(f"r.{k}").alias(k) for k in keys],
         F.col("r.v").alias("v"), F.col("r.w").alias("w"), F.col("w.side").alias("side"),

@@ -16,6 +16,7 @@ from aerolith.operators.quality import (
 _ZONES = [name for _, name in CLIMATE_ZONES] + [TOP_CLIMATE_ZONE]
 _TIERS = [name for _, name in POPULATION_TIERS] + [TOP_POPULATION_TIER]
 _CITY = [not_null("city_id"), relationship("city_id", "cities")]
+_MART_CITY = [not_null("city_id"), relationship("city_id", "dim_cities")]
 _POLLUTANT = [not_null("parameter_name"), accepted_values("parameter_name", POLLUTANTS)]
 
 CHECKS = {
@@ -51,25 +52,26 @@ CHECKS = {
     "fct_weather_daily": [
         unique("weather_sk"),
         not_null("weather_sk"),
-        *_CITY,
+        *_MART_CITY,
         not_null("observation_date"),
         accepted_range("avg_temperature_c", -15, 45, "warn"),
     ],
     "fct_air_quality_daily": [
-        unique("air_quality_sk"), not_null("air_quality_sk"), *_CITY, *_POLLUTANT,
+        unique("air_quality_sk"), not_null("air_quality_sk"), *_MART_CITY, *_POLLUTANT,
     ],
     "fct_environmental_stress": [
         unique("stress_sk"),
         not_null("stress_sk"),
-        *_CITY,
+        *_MART_CITY,
         accepted_range("environmental_stress_score", 0, SCORE_CAP),
     ],
 }
 
 
 def check_models(models: dict[str, DataFrame], cities: DataFrame) -> DataFrame:
-    """One report over all the given models that have checks."""
-    parents = {"cities": cities}
+    """One report over all the given models that have checks. Marts refer to `dim_cities`, the rest
+    to the list of cities; where no `dim_cities` is given, that list stands in."""
+    parents = {"cities": cities, "dim_cities": models.get("dim_cities", cities)}
     reports = [
         run_checks(name, df, CHECKS[name], parents) for name, df in models.items() if name in CHECKS
     ]

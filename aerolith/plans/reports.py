@@ -54,7 +54,11 @@ def top_stress(stress: DataFrame, k: int = 5) -> DataFrame:
 
 
 def rain_correlation(stress: DataFrame, pollutant: str = "pm25") -> DataFrame:
-    """Correlation of a pollutant with rainfall over the days of each climate zone."""
+    """Correlation of a pollutant with rainfall over the days of each climate zone.
+
+    A stress mart that is not stored works out all pollutants first, as a filter cannot pass the
+    pivot: build it from the readings of this pollutant alone.
+    """
     both = F.col(pollutant).isNotNull() & F.col("total_precipitation_mm").isNotNull()
     return (
         stress.filter(both)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aerolith import schemas
 from aerolith.fixed import HOURLY_MEASURES, POLLUTANTS
+from aerolith.operators.dedupe import dedupe_latest
 from aerolith.sources.scan import pin_city
 
 
@@ -26,7 +27,9 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 def hourly_rows(payloads: DataFrame, cities: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """(city_id, payload) to one row per hour in the raw weather layout.
 
-    A document without `hourly` or `time` gives no rows; a variable it lacks is NULL.
+    A document without `hourly` or `time` gives no rows; a variable it lacks is NULL. Hours of a
+    city that is not listed stay, without its attributes, and a time that cannot be read is NULL, so
+    the checks on the raw feed report both instead of losing them.
     """
     parsed = payloads.withColumn("h", F.from_json("payload", schemas.HOURLY_PAYLOAD)["hourly"])
     absent = F.array().cast("array<double>")
@@ -41,8 +44,8 @@ def hourly_rows(payloads: DataFrame, cities: DataFrame, ingested_at: Column | No
         "city_id", F.col("name").alias("city_name"), "latitude", "longitude", "elevation_m"
     )
     return (
-        hours.withColumn("observation_ts", F.to_timestamp("time"))
-        .join(places, "city_id")
+        hours.withColumn("observation_ts", F.try_to_timestamp("time"))
+        .join(places, "city_id", "left")
         .select(
             "city_id", "city_name", "latitude", "longitude", "elevation_m",
             *HOURLY_MEASURES, "observation_ts", "ingested_at",
@@ -65,6 +68,7 @@ def sensors(payloads: DataFrame) -> DataFrame:
             F.col("sensor.id").alias("sensor_id"),
             F.col("sensor.parameter.name").alias("parameter_name"),
             F.col("sensor.parameter.units").alias("parameter_units"),
+            *[c for c in ("ingested_at",) if c in payloads.columns],
         )
     )
 
@@ -72,7 +76,12 @@ def sensors(payloads: DataFrame) -> DataFrame:
 def measurements(
     payloads: DataFrame, sensors: DataFrame, cities: DataFrame, ingested_at: Column | None = None
 ) -> DataFrame:
-    """(city_id, sensor_id, payload) of daily measurements to the raw air-quality layout."""
+    """(city_id, sensor_id, payload) of daily measurements to the raw air-quality layout.
+
+    A sensor listed several times counts as last listed (by `ingested_at`, where the listing has
+    it), so no reading is multiplied. Readings of sensors or cities that are not listed stay, without
+    what the listing would add.
+    """
     m = F.col("m")
     utc = m["period"]["datetimeFrom"]["utc"]
     results = F.from_json("payload", schemas.MEASUREMENTS_PAYLOAD)["results"]
@@ -88,9 +97,12 @@ def measurements(
         _ingested_at(payloads, ingested_at),
     )
     names = cities.select("city_id", F.col("name").alias("city_name"))
+    if "ingested_at" not in sensors.columns:
+        sensors = sensors.withColumn("ingested_at", F.lit(None).cast("timestamp"))
+    listed = dedupe_latest(sensors, ["city_id", "sensor_id"], "ingested_at").drop("ingested_at")
     return (
-        flat.join(sensors, ["city_id", "sensor_id"])
-        .join(names, "city_id")
+        flat.join(listed, ["city_id", "sensor_id"], "left")
+        .join(names, "city_id", "left")
         .select(schemas.AIR_RAW.names)
     )
 

@@ -2,66 +2,82 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from aerolith import schemas
 
+_UNREAD = "_unread"
+
 
 def kafka_source(
     spark: SparkSession,
     servers: str,
     topic: str = "weather.sensor.readings",
-    batch_rows: int = 100,
+    batch_rows: int | None = None,
     batch_seconds: int = 30,
-    max_rows: int = 500,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Topic from its start. A batch is due at `batch_rows` new rows or after `batch_seconds`.
+    """Topic from its start. By default a batch takes whatever is there when the trigger fires.
+
+    `batch_rows` makes a batch wait for so many new rows, `batch_seconds` at most; `max_rows` limits
+    a batch's rows, and with the trigger's interval the rate.
 
     Events are keyed by city, so Kafka keeps a city's order within its partition. Needs the
     spark-sql-kafka package on the classpath.
     """
+    limits = {}
+    if batch_rows:
+        limits = {"minOffsetsPerTrigger": batch_rows, "maxTriggerDelay": f"{batch_seconds}s"}
+    if max_rows:
+        limits["maxOffsetsPerTrigger"] = max_rows
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("minOffsetsPerTrigger", batch_rows)
-        .option("maxTriggerDelay", f"{batch_seconds}s")
-        .option("maxOffsetsPerTrigger", max_rows)
+        .options(**limits)
         .load()
         .select(F.col("key").cast("string"), F.col("value").cast("string"))
     )
 
 
-def file_source(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
-    """JSON lines dropped into a folder, as rows of `key` and `value`."""
+def file_source(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """JSON lines dropped into a folder, as rows of `key` and `value`; all new files make a batch,
+    unless there is a limit."""
+    limits = {"maxFilesPerTrigger": files_per_batch} if files_per_batch else {}
     return (
         spark.readStream.schema("value string")
-        .option("maxFilesPerTrigger", files_per_batch)
+        .options(**limits)
         .text(path)
         .select(F.get_json_object("value", "$.city_id").alias("key"), "value")
     )
 
 
 def parse_events(source: DataFrame) -> DataFrame:
-    """Event fields beside the original text; malformed text gives NULL fields, never a failure."""
-    event = F.from_json("value", schemas.STREAM_EVENT, {"mode": "PERMISSIVE"})
-    return source.select("key", "value", event.alias("event"))
+    """Event fields beside the original text, and whether all of it could be read: malformed text
+    and values of another type give NULL fields, never a failure."""
+    schema = T.StructType([*schemas.STREAM_EVENT, T.StructField(_UNREAD, T.StringType())])
+    event = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _UNREAD})
+    fields = F.struct(*[event[name].alias(name) for name in schemas.STREAM_EVENT.names])
+    usable = event["city_id"].isNotNull() & event[_UNREAD].isNull()
+    return source.select(
+        "key", "value", fields.alias("event"), F.coalesce(usable, F.lit(False)).alias("usable")
+    )
 
 
 def valid_events(parsed: DataFrame) -> DataFrame:
-    """Events that name a city, stamped with the landing time and its UTC day.
+    """Events that can be read and name a city, stamped with the landing time and its UTC day.
 
     In a stream the current time is that of the micro-batch and is kept in the checkpoint, so a
     batch that is run again after a failure lands in the same folder.
     """
-    return _stamp(parsed.filter(F.col("event.city_id").isNotNull()).select("event.*"), "consumed_at")
+    return _stamp(parsed.filter("usable").select("event.*"), "consumed_at")
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
     """Everything else, as it arrived."""
-    unusable = parsed.filter(F.col("event.city_id").isNull()).select("key", "value")
+    unusable = parsed.filter("NOT usable").select("key", "value")
     return _stamp(unusable, "rejected_at")
 
 

@@ -587,9 +587,10 @@ def _oracles() -> dict[str, str]:
             cast(n_nationkey * 150 AS bigint) AS elevation_m,
             round(l_extendedprice / 2797 + h, 6) AS temperature_2m, cast(NULL AS double) AS rain,
             CASE h WHEN 0 THEN l_quantity WHEN 1 THEN l_quantity + 1 END AS wind_speed_10m,
-            strftime(l_shipdate + to_hours(cast(h AS int)), '%Y-%m-%d %H:%M:%S') AS observation_ts,
+            CASE WHEN h < 2 OR l_orderkey % 11 <> 0
+              THEN strftime(l_shipdate + to_hours(cast(h AS int)), '%Y-%m-%d %H:%M:%S') END AS observation_ts,
             strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS ingested_at
-            FROM lineitem JOIN nation ON l_suppkey % 27 = n_nationkey, range(3) hours(h)
+            FROM lineitem LEFT JOIN nation ON l_suppkey % 27 = n_nationkey, range(3) hours(h)
             WHERE l_orderkey % 13 <> 0""",
         "station_payload": """SELECT concat('C', s_suppkey % 27) AS city_id,
             s_suppkey AS location_id, s_name AS location_name, s_suppkey * 10 + i AS sensor_id,
@@ -606,7 +607,7 @@ def _oracles() -> dict[str, str]:
             CASE WHEN l_orderkey % 19 <> 0 THEN l_quantity END AS avg_value,
             cast(l_linenumber AS bigint) AS measurement_count,
             strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS ingested_at
-            FROM lineitem JOIN nation ON l_suppkey % 27 = n_nationkey
+            FROM lineitem LEFT JOIN nation ON l_suppkey % 27 = n_nationkey
             JOIN supplier ON l_suppkey = s_suppkey""",
         "month_windows": """SELECT o_custkey,
             cast(greatest(cast(m AS date), first_day) AS varchar) AS window_start,
@@ -655,13 +656,17 @@ def _oracles() -> dict[str, str]:
             lpad(cast(user_id % 5 AS varchar), 3, '0') AS city_id,
             strftime(ts, '%Y-%m-%dT%H:%M') AS observed_ts, value AS temperature_c,
             event_type AS sensor_kind
-            FROM events WHERE event_id % 31 <> 0 AND event_id % 37 <> 0""",
+            FROM events WHERE event_id % 31 <> 0 AND event_id % 37 <> 0 AND event_id % 41 <> 0""",
         # A cut line is kept in full; a whole line without a city keeps all its fields.
-        "stream_dead_letters": f"""SELECT cast(NULL AS varchar) AS key,
+        # A line with a value that cannot be read names its city, which is its key.
+        "stream_dead_letters": f"""SELECT
+            CASE WHEN event_id % 37 <> 0 AND event_id % 31 <> 0
+              THEN lpad(cast(user_id % 5 AS varchar), 3, '0') END AS key,
             CASE WHEN event_id % 37 = 0 THEN substring({event_line}, 1, 20)
-              ELSE concat({event_line}, ',"temperature_c":', cast(value AS varchar),
+              ELSE concat({event_line}, ',"temperature_c":',
+                CASE WHEN event_id % 41 = 0 THEN '"warm"' ELSE cast(value AS varchar) END,
                 ',"sensor_kind":"', event_type, '"}}') END AS value
-            FROM events WHERE event_id % 31 = 0 OR event_id % 37 = 0""",
+            FROM events WHERE event_id % 31 = 0 OR event_id % 37 = 0 OR event_id % 41 = 0""",
     }
 
 

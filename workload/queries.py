@@ -61,6 +61,13 @@ def _fct_stress(spark, d):
     return W.fct_stress(_fct_weather(spark, d), _fct_air(spark, d))
 
 
+def corr_rain(spark, d):
+    """Only the pollutant's own readings go into the stress mart."""
+    readings = roles.air(spark, d).filter(F.col("parameter_name") == "pm25")
+    air = W.air_mart(readings, W.dim_cities(roles.cities(spark, d)))
+    return reports.rain_correlation(W.fct_stress(_fct_weather(spark, d), air))
+
+
 def union_stream(spark, d):
     """Third branch of the union: landed stream events beside the two feeds."""
     events = roles.table(spark, d, "events").select(
@@ -153,7 +160,10 @@ def humidity_out_of_range(spark, d):
 
 def _hourly_payloads(spark, d):
     """One document per line: three hours, without the variables the line has no data for."""
-    hours = F.array(*[F.date_format("l_shipdate", f"yyyy-MM-dd'T'0{h}:00") for h in range(3)])
+    hours = [F.date_format("l_shipdate", f"yyyy-MM-dd'T'0{h}:00") for h in range(3)]
+    # Some times cannot be read.
+    hours[2] = F.when(F.col("l_orderkey") % 11 != 0, hours[2]).otherwise(F.lit("2h later"))
+    hours = F.array(*hours)
     three = F.array(F.col("l_quantity"), F.col("l_quantity") + 1, F.lit(None).cast("double"))
     temps = F.array(*[F.col("l_extendedprice") / 2797 + h for h in range(3)])
     hourly = F.struct(
@@ -193,6 +203,16 @@ def _station_payloads(spark, d):
     )
 
 
+def _listed_twice(spark, d):
+    """The listing landed twice, under another station name the first time."""
+    now = _station_payloads(spark, d).withColumn("ingested_at", F.lit("2024-02-01").cast("timestamp"))
+    before = now.withColumns({
+        "payload": F.regexp_replace("payload", "Supplier", "Old"),
+        "ingested_at": F.lit("2024-01-01").cast("timestamp"),
+    })
+    return payloads.sensors(before.unionByName(now))
+
+
 def station_payload(spark, d):
     return payloads.sensors(_station_payloads(spark, d))
 
@@ -218,7 +238,7 @@ def measurement_payload(spark, d):
         F.to_json(F.struct(F.array(result).alias("results"))).alias("payload"),
         F.col("l_shipdate").alias("ingested_at"),
     )
-    return payloads.measurements(docs, station_payload(spark, d), roles.cities(spark, d))
+    return payloads.measurements(docs, _listed_twice(spark, d), roles.cities(spark, d))
 
 
 def month_windows(spark, d):
@@ -360,7 +380,9 @@ def _event_stream(spark, d):
         F.col("value").alias("temperature_c"),
         F.col("event_type").alias("sensor_kind"),
     )
-    line = F.to_json(event)
+    # Some values cannot be read.
+    warm = F.regexp_replace(F.to_json(event), r'("temperature_c":)[^,]+', '$1"warm"')
+    line = F.when(F.col("event_id") % 41 == 0, warm).otherwise(F.to_json(event))
     cut = F.when(F.col("event_id") % 37 == 0, F.substring(line, 1, 20)).otherwise(line)
     roles.table(spark, d, "events").select(cut.alias("value")).write.text(folder)
     return stream.file_source(spark, folder)
@@ -411,7 +433,7 @@ QUERIES = {
     "heat_trend": lambda s, d: reports.heat_trend(_daily(s, d), 0.8, 2),
     "rank_exceedance": lambda s, d: reports.rank_exceedance(_fct_air(s, d)),
     "top_stress": lambda s, d: reports.top_stress(_fct_stress(s, d)),
-    "corr_rain": lambda s, d: reports.rain_correlation(_fct_stress(s, d)),
+    "corr_rain": corr_rain,
     "outliers_z": lambda s, d: reports.outliers(_fct_weather(s, d), "total_precipitation_mm", 2.0),
     "quality_report": quality_report,
     "unknown_cities": unknown_cities,
