@@ -32,6 +32,7 @@ END_ID = 1
 _MEMO, _MEMO_BYTES = 500_000, 64_000_000
 _CHUNKS = 100_000
 _MARKER = "\x01"
+_PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 Pattern = tuple[int, tuple[tuple[int, int], ...]]  # bins, ((length, how often), ...)
 
@@ -43,9 +44,10 @@ class WordIds(dict):
     """White-space separated chunk (UTF-8) to its ids as little-endian unsigned 32-bit numbers.
 
     The tokenizer drops white space and never joins what it separates, so a text's ids are its
-    chunks' ids in order. A full stop or comma after a letter is a token of its own. New chunks are
-    encoded together, with a marker between them, which costs half as much as one by one. Chunks met
-    before are remembered, up to a bound.
+    chunks' ids in order. It lower-cases, so A-Z may be lower-cased first, and ASCII punctuation that
+    ends a chunk after a letter a-z is tokens of its own. New chunks are encoded together, with a
+    marker between them, which costs half as much as one by one. Chunks met before are remembered,
+    up to a bound.
     """
 
     def __init__(self, tokenizer):
@@ -54,7 +56,7 @@ class WordIds(dict):
         self.marker = self._encode(_MARKER)
 
     def text_ids(self, text: bytes) -> bytes:
-        chunks = text.split()
+        chunks = text.lower().split()
         return b"".join(self._slice_ids(chunks[i : i + _CHUNKS]) for i in range(0, len(chunks), _CHUNKS))
 
     def _slice_ids(self, chunks: list[bytes]) -> bytes:
@@ -67,14 +69,20 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, chunks))
 
     def _learn(self, chunks: set[bytes]) -> None:
-        ended = [c for c in chunks if c[-1:] in (b".", b",") and c[-2:-1].isalpha()]
-        bare = {c[:-1] for c in ended} | {b".", b","} | chunks.difference(ended)
-        new = [c for c in bare if c not in self]
-        for chunk, ids in zip(new, self._encode_all(new)):
+        new, ended = set(), []
+        for chunk in chunks:
+            bare = chunk.rstrip(_PUNCTUATION)
+            if len(bare) < len(chunk) and bare[-1:].isalpha():
+                ended.append((chunk, bare, chunk[len(bare) :]))
+                new.update(ended[-1][1:])
+            else:
+                new.add(chunk)
+        fresh = [c for c in new if c not in self]
+        for chunk, ids in zip(fresh, self._encode_all(fresh)):
             self[chunk] = ids
             self.held += len(chunk) + len(ids)
-        for chunk in ended:
-            self[chunk] = self[chunk[:-1]] + self[chunk[-1:]]
+        for chunk, bare, tail in ended:
+            self[chunk] = self[bare] + self[tail]
 
     def _encode_all(self, chunks: list[bytes]) -> list[bytes]:
         together = self._encode(f" {_MARKER} ".join(c.decode() for c in chunks))

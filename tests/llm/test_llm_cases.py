@@ -160,7 +160,7 @@ def test_chunks_give_the_whole_text_ids():
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
     words = packing.WordIds(tokenizer)
-    for text in ["", "don't. we'll, i.e., A.B.", "a\x01b c, d.", "Σ. ΑΣ, ΣΑΣ", "x　y z\x85q", "12, x1. ,, ... é́. 漢字 ﬁ"]:
+    for text in ["", "don't. we'll, i.e., A.B.", "a\x01b c, d.", "Σ. ΑΣ, ΣΑΣ", "x　y z\x85q", "12, x1. ,, ... é́. 漢字 ﬁ", "AND&&& İ. I\u0307 A\u030a x'S a's! b\x01c _d_ e_ f'' don'T"]:
         want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         assert words.text_ids(text.encode()) == want
 
