@@ -106,7 +106,18 @@ def test_station_and_measurement_documents(spark):
     assert {(r.observation_date, r.value, r.max_value, r.measurement_count) for r in got} == {
         ("2024-03-05", 7.5, 9.0, 24), (None, None, None, None), (None, 1.0, None, None),
     }
-    assert {(r.sensor_id, r.city_name, r.parameter_name) for r in got} == {(11, "Bogota", "pm25")}
+    # A sensor that is not listed stays, for the checks to report.
+    assert {(r.sensor_id, r.city_name, r.parameter_name) for r in got} == {
+        (11, "Bogota", "pm25"), (99, "Bogota", None),
+    }
+    twice = found.withColumn("ingested_at", F.lit("2024-01-01").cast("timestamp"))
+    later = twice.withColumns({"location_name": F.lit("Sur"), "ingested_at": F.lit("2024-02-01").cast("timestamp")})
+    readings = spark.createDataFrame(
+        [("BOG", 11, json.dumps(results)), ("XXX", 11, json.dumps(results))],
+        "city_id string, sensor_id bigint, payload string",
+    )
+    got = payloads.measurements(readings, twice.unionByName(later), scan.read_cities(spark)).collect()
+    assert len(got) == 6 and {(r.city_id, r.location_name) for r in got} == {("BOG", "Sur"), ("XXX", None)}
 
 
 def test_document_folders_keep_the_city_text(spark, path):
