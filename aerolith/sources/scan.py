@@ -29,10 +29,12 @@ def read_partitioned(
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
     """Hourly weather in either layout, with time columns that arrive as nanoseconds converted.
 
-    The file schema comes from one footer. Needs spark.sql.legacy.parquet.nanosAsLong for files
-    written with nanosecond timestamps.
+    The schema is that of all footers together, so a column that only some files have is kept. Files
+    with nanosecond times beside others in one folder cannot be told apart while reading and would
+    give wrong times: merging their footers stops the read instead. Read such files as folders of
+    their own and union them. Needs spark.sql.legacy.parquet.nanosAsLong for nanosecond files.
     """
-    layout = pin_city(spark.read.parquet(path).schema)
+    layout = pin_city(spark.read.option("mergeSchema", "true").parquet(path).schema)
     return convert_nanos(spark.read.schema(layout).parquet(path))
 
 

@@ -28,6 +28,29 @@ def test_nanosecond_files_with_the_city_in_path_and_file(spark, path):
     assert row.observation_ts == row.ingested_at == datetime(2024, 3, 5, 7, 0, 0, 123456)
 
 
+def write_times(folder, unit, more=()):
+    os.makedirs(folder)
+    at = pa.array([datetime(2024, 3, 5, 7)], pa.timestamp(unit))
+    columns = {"temperature_2m": [1.5], "observation_ts": at, "ingested_at": at, **dict(more)}
+    pq.write_table(pa.table(columns), folder + "/data.parquet")
+
+
+@pytest.mark.parametrize("units", [("ns", "us"), ("us", "ns")])
+def test_mixed_precision_in_one_folder_stops_the_read(spark, path, units):
+    for month, unit in zip(("01", "02"), units):
+        write_times(path("mixed") + f"/city_id=BOG/year=2024/month={month}", unit)
+    with pytest.raises(Exception, match="(?i)merge"):
+        scan.read_weather(spark, path("mixed")).collect()
+
+
+@pytest.mark.parametrize("unit", ["ns", "us"])
+def test_one_precision_and_columns_of_any_file(spark, path, unit):
+    write_times(path("even") + "/city_id=BOG/year=2024/month=01", unit)
+    write_times(path("even") + "/city_id=BOG/year=2024/month=02", unit, [("rain", [2.0])])
+    rows = scan.read_weather(spark, path("even")).collect()
+    assert {(r.observation_ts, r.rain) for r in rows} == {(datetime(2024, 3, 5, 7), x) for x in (None, 2.0)}
+
+
 def test_external_table_prunes_folders(spark, path):
     rows = [air_row(1.0, day="2024-03-05"), air_row(2.0, day="2024-03-06")]
     for row in rows:
