@@ -102,7 +102,10 @@ def register(spark: SparkSession, args: argparse.Namespace) -> None:
     }
     for name, (folder, schema, path_columns) in layouts.items():
         where = f"{args.root.rstrip('/')}/{folder}"
-        scan.register_external(spark, f"{args.namespace}.{name}", where, schema, path_columns)
+        if scan.is_sink_output(spark, where):
+            scan.register_stream(spark, f"{args.namespace}.{name}", where)
+        else:
+            scan.register_external(spark, f"{args.namespace}.{name}", where, schema, path_columns)
 
 
 def _landed_stream(spark: SparkSession, path: str) -> DataFrame:

@@ -50,6 +50,22 @@ def convert_nanos(df: DataFrame) -> DataFrame:
     return df.withColumns({name: nanos_to_timestamp(name) for name in arrived_as_long})
 
 
+def is_sink_output(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming query has written this folder; its log then says which files count."""
+    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)
+
+
+def register_stream(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """(Re)define `name` over a streaming sink's folder, as a view on reading the path: that honours
+    the sink's log, so files of batches that were not committed are never seen. A table over the
+    files would see them, and Spark finds no partitions to recover below such a folder."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    return spark.table(name)
+
+
 def register_external(
     spark: SparkSession, table: str, path: str, schema: T.StructType, partitions: T.StructType
 ) -> DataFrame:
@@ -57,6 +73,8 @@ def register_external(
     full = with_partitions(schema, partitions)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full)
     by = ", ".join(f"`{name}`" for name in partitions.names)
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "VIEW":
+        spark.sql(f"DROP VIEW {table}")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{path}'")
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")

@@ -316,3 +316,27 @@ def test_register_job(spark, path):
               ("weather_hourly", "weather_daily", "air_quality", "weather_streaming")]
     assert counts == [16, 1, 1, 0]
     spark.sql("DROP DATABASE ext CASCADE")
+
+
+def test_register_job_over_stream_output(spark, path):
+    """Committed events are seen, a file that no batch has committed is not."""
+    os.makedirs(path("in"))
+    for n in (1, 2):
+        with open(path("in") + f"/{n}.json", "w") as f:
+            f.write(json.dumps({"event_id": f"e{n}", "city_id": "BOG", "temperature_c": 9.5}))
+        out = path("root") + "/streaming/weather"
+        job = ["stream", "--folder", path("in"), "--out", out, "--checkpoint", path("progress"), "--once"]
+        args = cli.parser().parse_args(job)
+        args.run(spark, args)
+        args = cli.parser().parse_args(["register", "--root", path("root"), "--namespace", "live"])
+        for name in ("weather", "weather_daily", "air_quality"):
+            os.makedirs(f"{path('root')}/raw/{name}", exist_ok=True)
+        args.run(spark, args)
+        assert spark.table("live.ext_weather_streaming").count() == n
+    stray = glob.glob(out + "/year=*/month=*/day=*/*.parquet")[0]
+    with open(stray, "rb") as f, open(stray.replace("part-", "stray-"), "wb") as g:
+        g.write(f.read())
+    seen = spark.table("live.ext_weather_streaming")
+    assert sorted(r.event_id for r in seen.collect()) == ["e1", "e2"]
+    assert {"consumed_at", "year", "month", "day"} <= set(seen.columns)
+    spark.sql("DROP DATABASE live CASCADE")
