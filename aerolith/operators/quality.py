@@ -79,21 +79,17 @@ def run_checks(
 ) -> DataFrame:
     """One row per check with its number of failures: duplicated values for `unique`, else rows.
 
-    All checks on single rows share one pass over the table.
+    Checks on single rows and the relationships of one column share one pass over the table: rows
+    are counted per value of that column, and the counts meet the parents. Each `unique`, and each
+    further column with relationships, takes a pass of its own.
     """
-    per_row = [c for c in checks if row_condition(c) is not None]
-    reports = []
-    if per_row:
-        counted = df.agg(
-            *[
-                F.coalesce(F.count_if(row_condition(c)), F.lit(0)).alias(f"_{i}")
-                for i, c in enumerate(per_row)
-            ]
-        )
-        lines = [_line(model, c, F.col(f"_{i}")) for i, c in enumerate(per_row)]
-        reports.append(counted.select(F.inline(F.array(*lines))))
+    related = [c for c in checks if c.kind == "relationships"]
+    shared = [c for c in checks if row_condition(c) is not None]
+    column = related[0].column if related else None
+    shared += [c for c in related if c.column == column]
+    reports = [_in_one_pass(model, df, shared, column, parents or {})] if shared else []
     for check in checks:
-        if row_condition(check) is None:
+        if check not in shared:
             bad = failing(df, check, parents)
             total = F.count(F.lit(1)) if check.kind == "unique" else F.sum("rows")
             failures = bad.agg(F.coalesce(total, F.lit(0)).alias("_n"))
@@ -101,6 +97,29 @@ def run_checks(
     return reduce(DataFrame.unionByName, reports)
 
 
+def _in_one_pass(
+    model: str, df: DataFrame, checks: Sequence[Check], column: str | None,
+    parents: dict[str, DataFrame],
+) -> DataFrame:
+    """Failures of checks on single rows and of relationships of `column`."""
+    per_row = [(i, row_condition(c)) for i, c in enumerate(checks) if row_condition(c) is not None]
+    counts = [F.count_if(condition).alias(f"_{i}") for i, condition in per_row]
+    if column is None:
+        counted = df.agg(*counts)
+    else:
+        by_value = df.groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"), *counts)
+        totals = [F.sum(f"_{i}").alias(f"_{i}") for i, _ in per_row]
+        for i, check in enumerate(checks):
+            if row_condition(check) is None:
+                known = parents[check.parent].select(F.col(column).alias(f"_known_{i}")).distinct()
+                by_value = by_value.join(known, F.col("_value") == F.col(f"_known_{i}"), "left")
+                lost = F.col("_value").isNotNull() & F.col(f"_known_{i}").isNull()
+                totals.append(F.sum(F.when(lost, F.col("_rows"))).alias(f"_{i}"))
+        counted = by_value.agg(*totals)
+    lines = [_line(model, c, F.coalesce(f"_{i}", F.lit(0).cast("bigint"))) for i, c in enumerate(checks)]
+    return counted.select(F.inline(F.array(*lines)))
+
+
 def _line(model: str, check: Check, failures: Column) -> Column:
     return F.struct(
         F.lit(model).alias("model"),
