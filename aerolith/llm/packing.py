@@ -16,6 +16,7 @@ slots of that length are ranges of those numbers.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
@@ -32,6 +33,7 @@ END_ID = 1
 _MEMO, _MEMO_BYTES = 500_000, 64_000_000
 _CHUNKS = 100_000
 _MARKER = "\x01"
+_MAY_COMPOSE = re.compile(rb"[A-Z][\xCC-\xFF]")  # combining characters begin at U+0300
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 Pattern = tuple[int, tuple[tuple[int, int], ...]]  # bins, ((length, how often), ...)
@@ -44,19 +46,35 @@ class WordIds(dict):
     """White-space separated chunk (UTF-8) to its ids as little-endian unsigned 32-bit numbers.
 
     The tokenizer drops white space and never joins what it separates, so a text's ids are its
-    chunks' ids in order. It lower-cases, so A-Z may be lower-cased first, and ASCII punctuation that
-    ends a chunk after a letter a-z is tokens of its own. New chunks are encoded together, with a
-    marker between them, which costs half as much as one by one. Chunks met before are remembered,
-    up to a bound.
+    chunks' ids in order. It lower-cases, but only after composing characters, so A-Z may be
+    lower-cased first unless a character follows that could join the letter. ASCII punctuation that
+    ends a chunk after a letter a-z is tokens of its own. Added tokens are found before all that: chunks of a text that has one stay as they
+    are, and are encoded whole where they hold it; if such a token holds or takes in white space, the
+    text is encoded whole. New chunks are encoded together, with a marker between them, which costs
+    half as much as one by one. Chunks met before are remembered, up to a bound.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer, self.held = tokenizer, 0
         self.marker = self._encode(_MARKER)
+        added = list(tokenizer.get_added_tokens_decoder().values())
+        any_of = lambda tokens: re.compile(
+            b"|".join(re.escape(t.content.encode().lower()) for t in tokens) or rb"(?!)"
+        )
+        self.added = any_of(added)
+        self.spaced = any_of([t for t in added if t.lstrip or t.rstrip or t.content.split() != [t.content]])
 
     def text_ids(self, text: bytes) -> bytes:
-        chunks = text.lower().split()
+        low = text.lower()
+        if self.spaced.search(low):
+            return self._encode(text.decode())
+        if self.added.search(low):
+            chunks = text.split()
+        elif not _MAY_COMPOSE.search(text):
+            chunks = low.split()
+        else:
+            chunks = [c if _MAY_COMPOSE.search(c) else c.lower() for c in text.split()]
         return b"".join(self._slice_ids(chunks[i : i + _CHUNKS]) for i in range(0, len(chunks), _CHUNKS))
 
     def _slice_ids(self, chunks: list[bytes]) -> bytes:
@@ -72,7 +90,8 @@ class WordIds(dict):
         new, ended = set(), []
         for chunk in chunks:
             bare = chunk.rstrip(_PUNCTUATION)
-            if len(bare) < len(chunk) and bare[-1:].isalpha():
+            cut = len(bare) < len(chunk) and bare[-1:].isalpha()
+            if cut and not self.added.search(chunk.lower()):
                 ended.append((chunk, bare, chunk[len(bare) :]))
                 new.update(ended[-1][1:])
             else:
