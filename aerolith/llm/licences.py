@@ -3,7 +3,7 @@
 A text is cut into sentences, and each is normalised: lower case, runs of anything but letters and
 digits to one space. Sentences known from licences and their notices become identifiers, the rest
 are gaps. Rules are ordered: a sequence of identifiers with at most `max_gap` other sentences between
-two of them. At each place the first rule that matches wins, so longer and more specific rules stand
+two of them. Names of holders and works are slots in them. At each place the first rule that matches wins, so longer and more specific rules stand
 before their parts; what it covers is not matched again.
 """
 
@@ -16,6 +16,13 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+_OTHER = re.compile(r"[^a-z0-9]+")
+
+
+def normalise(sentence: str) -> str:
+    return _OTHER.sub(" ", sentence.lower()).strip()
+
+
 # Sentences of well-known licences and of the notices that name them. A sentence of
 # the text matches if it is the whole known sentence after normalisation.
 SENTENCES = {
@@ -44,9 +51,36 @@ SENTENCES = {
     "named-cc-by-nc": "Licensed under CC BY-NC 4.0",
     "named-cc0": "This work is dedicated to the public domain under CC0 1.0",
     "named-bsd": "Released under the BSD License",
+    "bsd-endorse#any": "Neither the name of the copyright holder nor the names of any contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-endorse#contributors": "Neither the name of the copyright holder nor the names of contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-endorse#other": "Neither the name of the copyright holder nor the names of other contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-endorse#their": "Neither the name of the copyright holder nor the names of their contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-endorse#not": "The name of the copyright holder may not be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-advert": "All advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "isc-grant#and": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "0bsd-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    "mit-0-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
+    "bsl-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following",
+    "bsl-notice": "Distributed under the Boost Software License, Version 1.0",
+    "unlicense": "This is free and unencumbered software released into the public domain",
+    "unlicense-anyone": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "zlib-origin": "The origin of this software must not be misrepresented; you must not claim that you wrote the original software",
+    "zlib-altered": "Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software",
+    "apache-title": "Apache License Version 2.0, January 2004",
+    "mpl2": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "mpl2-title": "Mozilla Public License Version 2.0",
+    "mpl11": "The contents of this file are subject to the Mozilla Public License Version 1.1 (the \"License\"); you may not use this file except in compliance with the License",
+    "epl2": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at",
+    "epl2#v": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution, and is available at",
+    "epl1": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at",
+    "wtfpl": "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE",
+    "cc0-waiver": "To the extent possible under law, the person who associated CC0 with this work has waived all copyright and related or neighboring rights to this work",
 }
+# A part after # tells wordings of one identifier apart.
 RULES = [
     ("MIT", ("mit-grant", "mit-notice", "as-is")),
+    ("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-advert", "bsd-endorse")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("Apache-2.0", ("apache-grant", "apache-copy", "apache-as-is")),
@@ -67,17 +101,122 @@ RULES = [
     ("CC-BY-NC-4.0", ("named-cc-by-nc",)),
     ("CC0-1.0", ("named-cc0",)),
     ("BSD", ("named-bsd",)),
+    ("0BSD", ("0bsd-grant",)),
+    ("MIT-0", ("mit-0-grant",)),
+    ("BSL-1.0", ("bsl-grant",)),
+    ("BSL-1.0", ("bsl-notice",)),
+    ("Unlicense", ("unlicense", "unlicense-anyone")),
+    ("Unlicense", ("unlicense",)),
+    ("Zlib", ("zlib-grant", "zlib-origin", "zlib-altered")),
+    ("Zlib", ("zlib-grant",)),
+    ("Apache-2.0", ("apache-title",)),
+    ("MPL-2.0", ("mpl2",)),
+    ("MPL-2.0", ("mpl2-title",)),
+    ("MPL-1.1", ("mpl11",)),
+    ("EPL-2.0", ("epl2",)),
+    ("EPL-1.0", ("epl1",)),
+    ("WTFPL", ("wtfpl",)),
+    ("CC0-1.0", ("cc0-waiver",)),
 ]
 MAX_GAP = 3
 
+
+def _add(licence: str, identifier: str, texts: list[str], *then: str) -> None:
+    """Further wordings of one identifier, and its rules: the sequence with `then`, then it alone.
+    Wordings that are known already keep their identifier."""
+    known = {normalise(text) for text in SENTENCES.values()}
+    new = [text for text in texts if normalise(text) not in known]
+    SENTENCES.update({f"{identifier}#{n}": text for n, text in enumerate(new)})
+    if new:
+        RULES.extend([(licence, (identifier, *then))] * bool(then) + [(licence, (identifier,))])
+
+
+def _gnu() -> None:
+    """Notices and titles of the GNU licences. The work's name is a slot, see `SLOTS`."""
+    freely = "This program is free software; you can redistribute it and/or modify it under the terms of"
+    by = "as published by the Free Software Foundation"
+    for code, name, version, dated in [
+        ("GPL-1.0", "General", "1", "February 1989"), ("GPL-2.0", "General", "2", "June 1991"),
+        ("GPL-3.0", "General", "3", "29 June 2007"), ("LGPL-2.0", "Library General", "2", "June 1991"),
+        ("LGPL-2.1", "Lesser General", "2.1", "February 1999"), ("LGPL-3.0", "Lesser General", "3", "29 June 2007"),
+        ("AGPL-3.0", "Affero General", "3", "19 November 2007"),
+    ]:
+        full, key, versions = f"GNU {name} Public License", code.lower(), {version, code.split("-")[1]}
+        later = [f"{freely} the {full} {by}; either version {v} of the License, or (at your option) any later version" for v in versions]
+        later += [f"{freely} the {full} {by}; either version {v}, or (at your option) any later version" for v in versions]
+        only = [f"{freely} the {full} version {v} {by}" for v in versions]
+        only += [f"{freely} the {full} version {v} only, {by}" for v in versions]
+        only += [f"{freely} version {v} of the {full} {by}" for v in versions]
+        only += [f"{freely} the {full} {by}; version {v} of the License" for v in versions]
+        only += [f"{freely} the {full} {by}; version {v}" for v in versions]
+        _add(f"{code}-or-later", f"{key}-later", later, "gpl-hope")
+        _add(f"{code}-only", f"{key}-only", only, "gpl-hope")
+        _add(f"{code}-only", f"{key}-title", [f"{full} Version {version}, {dated}"])
+
+
+def _named() -> None:
+    """Notices that name a licence. How it is given is a slot, see `SLOTS`."""
+    names = {
+        "MIT": ["the MIT License", "MIT License", "MIT"], "ISC": ["the ISC License", "ISC"],
+        "BSD": ["the BSD License", "a BSD License"],
+        "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0", "Apache License 2.0", "Apache 2.0", "the Apache 2.0 License", "Apache-2.0"],
+        "BSD-2-Clause": ["the BSD 2-Clause License", "the 2-Clause BSD License", "BSD-2-Clause", "the Simplified BSD License"],
+        "BSD-3-Clause": ["the BSD 3-Clause License", "the 3-Clause BSD License", "BSD-3-Clause", "the New BSD License", "the Modified BSD License"],
+        "MPL-2.0": ["the Mozilla Public License 2.0", "the Mozilla Public License, Version 2.0", "the Mozilla Public License, v. 2.0", "MPL 2.0", "the MPL 2.0"],
+        "EPL-1.0": ["the Eclipse Public License 1.0", "the Eclipse Public License, Version 1.0", "the Eclipse Public License v1.0"],
+        "EPL-2.0": ["the Eclipse Public License 2.0", "the Eclipse Public License, Version 2.0", "the Eclipse Public License v2.0"],
+        "BSL-1.0": ["the Boost Software License 1.0", "the Boost Software License, Version 1.0"],
+        "Unlicense": ["the Unlicense"], "Zlib": ["the zlib License", "the zlib/libpng License"], "WTFPL": ["the WTFPL"],
+        "CC0-1.0": ["CC0", "CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal"],
+    }
+    for code, name, versions in [
+        ("GPL", "General", ("2", "3")), ("LGPL", "Lesser General", ("2.1", "3")), ("AGPL", "Affero General", ("3",)),
+    ]:
+        for v in versions:
+            full = [f"the GNU {name} Public License", f"the {code}", code, f"the GNU {code}", f"GNU {code}"]
+            forms = [f"{f}{join}{v}{end}" for f in full for join in (" version ", " v", " ") for end in ("", "" if "." in v else ".0")]
+            names[f"{code}-{v if '.' in v else v + '.0'}-only"] = forms
+            names[f"{code}-{v if '.' in v else v + '.0'}-or-later"] = [f"{f} or{any_} later" for f in forms for any_ in ("", " any")] + [f"{f} or any later version" for f in forms]
+    long = {"BY": "Attribution", "SA": "ShareAlike", "NC": "NonCommercial", "ND": "NoDerivatives"}
+    for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        words = "-".join(long[part] for part in kind.split("-"))
+        for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            wordy = {words, words.replace("NoDerivatives", "NoDerivs")}
+            names[f"CC-{kind}-{v}"] = [f"CC {kind} {v}", f"a CC {kind} {v} License", f"the CC {kind} {v} License"] + [
+                f"{article} Creative Commons {w} {v}{port} License"
+                for article in ("a", "the") for w in wordy for port in ("", " International", " Unported", " Generic")
+            ]
+    for licence, forms in names.items():
+        _add(licence, f"named-{licence.lower()}", [f"Licensed under {form}" for form in forms])
+
+# Names of holders and works, which differ from text to text, become those of the known sentences.
+# The first must hold for a sentence to be looked at; a sentence that begins as `_OPEN` and lacks its
+# second half may be cut by a name ("Google Inc. nor ..."), so the next pieces are taken in.
+SLOTS = [
+    ("neither the name", re.compile(r"^neither the names? of .+? nor the names? of"), "neither the name of the copyright holder nor the names of"),
+    ("may not be used to endorse", re.compile(r"^the names? of .+? may not be used"), "the name of the copyright holder may not be used"),
+    (" is free software", re.compile(r"^.+? is free software(?= you can redistribute|$)"), "this program is free software"),
+    (" is distributed in the hope", re.compile(r"^.+? is distributed in the hope"), "this program is distributed in the hope"),
+    (" see ", re.compile(r"^((?:this [a-z]+ is )?(?:licensed|released|distributed) under .+?) (?:please )?see (?:the )?(?:accompanying )?(?:licen[cs]e|copying)\b.*$"), r"\1"),
+]
+SLOTS.append((" under ", re.compile(r"^(?:this [a-z]+ is )?(?:licensed|released|distributed) under (?:the terms of )?"), "licensed under "))
+_OPEN = [("neither the name of ", " nor the name"), ("neither the names of ", " nor the name"), ("the name of ", " may not be used"), ("the names of ", " may not be used")]
+_NAME_PIECES = 8
+
 # A sentence ends at a line break, or at . ! ? : ; before white space or the end of the text. Known
 # sentences that this cuts are put together again.
 _END = re.compile(r"[.!?:;]+(?=\s|$)|\n")
-_OTHER = re.compile(r"[^a-z0-9]+")
 
 
-def normalise(sentence: str) -> str:
-    return _OTHER.sub(" ", sentence.lower()).strip()
+def _filled(words: str) -> str:
+    for sign, pattern, known in SLOTS:
+        if sign in words:
+            words = pattern.sub(known, words)
+    return words
+
+
+_gnu()
+_named()
 
 
 @dataclass(frozen=True)
@@ -92,7 +231,10 @@ class Scanner:
 
     def __init__(self, sentences: dict[str, str], rules: list[tuple[str, tuple[str, ...]]], max_gap: int):
         self.rules, self.max_gap = rules, max_gap
-        self.known = {normalise(text): name for name, text in sentences.items()}
+        self.known = {}
+        for form in (normalise, lambda text: _filled(normalise(text))):
+            for name, text in sentences.items():
+                self.known.setdefault(form(text), name.split("#")[0])
         self.prefixes = {" ".join(k.split(" ")[:n]) for k in self.known for n in range(1, len(k.split(" ")) + 1)}
         self.by_first: dict[str, list[int]] = {}
         for i, (_, sequence) in enumerate(rules):
@@ -110,17 +252,37 @@ class Scanner:
         found, i = [], 0
         while i < len(pieces):
             words, start, end = pieces[i]
-            best, after = self.known.get(words), i + 1
-            if words in self.prefixes:
-                whole, j = words, i + 1
-                while j < len(pieces) and (whole := f"{whole} {pieces[j][0]}") in self.prefixes:
-                    j += 1
-                    if whole in self.known:
-                        best, after, end = self.known[whole], j, pieces[j - 1][2]
+            last = self._name_ends(pieces, i)
+            if last > i:
+                words, end = " ".join(p[0] for p in pieces[i : last + 1]), pieces[last][2]
+            best, after = self.known.get(words), last + 1
+            for whole in (words, _filled(words)):
+                best = best or self.known.get(whole)
+                j = last + 1
+                if whole in self.prefixes:
+                    while j < len(pieces) and (whole := f"{whole} {pieces[j][0]}") in self.prefixes:
+                        j += 1
+                        if whole in self.known:
+                            best, after, end = self.known[whole], j, pieces[j - 1][2]
+                if best:
+                    break
             found.append(Sentence(best, start, end))
             i = after
         return found
 
+    def _name_ends(self, pieces: list, i: int) -> int:
+        """Place of the piece in which the sentence begun at `i` goes on after a name that cut it; `i`
+        if no name did."""
+        words = pieces[i][0]
+        for begins, goes_on in _OPEN:
+            if f"{words} ".startswith(begins) and goes_on not in words:
+                whole = words
+                for j in range(i + 1, min(i + 1 + _NAME_PIECES, len(pieces))):
+                    whole = f"{whole} {pieces[j][0]}"
+                    if goes_on in whole:
+                        return j
+        return i
+
     def scan_text(self, text: str | None) -> list[tuple[str, int, int, int, int]]:
         """(licence, rule number, sentences matched, start, end) of the matches in order; start and
         end are places in the text, the end just after the last matched sentence."""
