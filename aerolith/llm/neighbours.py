@@ -31,6 +31,7 @@ SHARDS_DEEP = 4
 SHARD_ROWS = 50_000
 QUERY_ROWS = 20_000
 LEAF = 256
+_QUERY_BLOCK, _ROW_BLOCK = 1024, 4096  # scores worked out at once
 _SLACK = 1e-9
 
 
@@ -44,6 +45,11 @@ def usable(vectors: DataFrame) -> DataFrame:
     return own.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").filter(finite & nonzero)
 
 
+def one_per_id(vectors: DataFrame) -> DataFrame:
+    """Repeated rows count once; of different vectors with one vec_id the smallest stands."""
+    return vectors.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+
+
 def matrix(column: pa.Array) -> np.ndarray:
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return values.reshape(len(column), -1)
@@ -120,7 +126,13 @@ class Nearest:
 
     def offer(self, some: np.ndarray, x: np.ndarray, vec_ids: np.ndarray, lengths: np.ndarray) -> None:
         """Rows x, vec_ids to the queries at `some`. `lengths` are the queries' part of a squared
-        distance, |q|^2 + M^2."""
+        distance, |q|^2 + M^2. Scores are held for a block of both at a time."""
+        for a in range(0, len(some), _QUERY_BLOCK):
+            for b in range(0, len(x), _ROW_BLOCK):
+                rows = slice(b, b + _ROW_BLOCK)
+                self._offer_block(some[a : a + _QUERY_BLOCK], x[rows], vec_ids[rows], lengths)
+
+    def _offer_block(self, some: np.ndarray, x: np.ndarray, vec_ids: np.ndarray, lengths: np.ndarray) -> None:
         rough = self.queries[some] @ x.T
         for row, q in enumerate(some):
             have, have_ids = self.found[q]
@@ -171,6 +183,18 @@ def search(tree: Node, x: np.ndarray, raw: np.ndarray, vec_ids: np.ndarray, best
     visit(tree, np.arange(len(best.ids)))
 
 
+def thin_copies(node: Node, raw: np.ndarray, vec_ids: np.ndarray, k: int) -> None:
+    """Leaves of equal vectors alone keep the k + 1 smallest ids. All score alike and ties go to the
+    smaller id, so no query, which leaves out its own id at most, can take another."""
+    stack = [node]
+    while stack:
+        node = stack.pop()
+        if node.rows is None:
+            stack += [node.inside, node.outside]
+        elif len(node.rows) > k + 1 and (raw[node.rows] == raw[node.rows[0]]).all():
+            node.rows = node.rows[np.argsort(vec_ids[node.rows])[: k + 1]]
+
+
 # Shards -----------------------------------------------------------------------------------------
 
 
@@ -239,12 +263,13 @@ def nearest(
     """query_id, rank, vec_id and score: each query's `k` best vectors other than its own.
 
     Both frames have vec_id and embedding, of one dimension. Vectors and queries that `usable` leaves
-    out take no part. All candidates are given if there are fewer than k; ties go to the smaller id.
+    out take no part. A vec_id is one vector and one query, however often its row is repeated (see
+    `one_per_id`). All candidates are given if there are fewer than k; ties go to the smaller id.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
-    own = stored(usable(vectors), "ann-vectors")
-    asked = stored(usable(queries), "ann-queries")
+    own = stored(one_per_id(usable(vectors)), "ann-vectors")
+    asked = stored(one_per_id(usable(queries)), "ann-queries")
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
     top = own.agg(F.max(norm)).first()[0]
     if top is None:
@@ -366,6 +391,7 @@ def _search_cells(k: int, factor: float, top: float):
                     raw = np.vstack([matrix(v.column("embedding")) for v in vecs]) if vecs else np.empty((0, 0))
                     x = lifted(raw, top) if vecs else raw
                     root = build(x, np.arange(len(ids)), np.random.default_rng(0), LEAF)
+                    thin_copies(root, raw, ids, k)
                     tree, vecs = (raw, ids, x, root), []
                 yield answer([run])
 
