@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from aerolith.llm.common import running
+from aerolith.llm.common import running, running_total
 from aerolith.session import stored
 
 TURNS_PER_ROW = 1024
@@ -95,23 +95,49 @@ def maximal_conversations(messages: DataFrame, turns_per_row: int = TURNS_PER_RO
 
 
 def render(messages: DataFrame, chosen: DataFrame, turns_per_row: int = TURNS_PER_ROW) -> DataFrame:
-    """The chosen conversations as text, a row per `turns_per_row` turn numbers: conv_id, segment,
+    """The chosen conversations as text, in rows of up to `turns_per_row` messages: conv_id, segment,
     n_messages, n_copies and text. Null roles and texts are empty.
 
-    Most conversations are one row, segment 0; a longer one goes on in further rows, so no row or
-    task holds more than that many turns.
+    Most conversations are one row, segment 0; a longer one goes on in further rows, by turn numbers.
+    Where more than `turns_per_row` messages share such a run of turn numbers, the conversation's
+    segments are cut by the running count of its messages instead, so no row holds more than that.
     """
-    own = messages.select(
-        F.col("conv_id").alias("_conv"),
-        F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("_m"),
-        _segment(F.col("turn"), turns_per_row).alias("segment"),
+    spoken = messages.select(
+        F.col("conv_id").alias("_conv"), "turn",
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
+    )
+    same = F.col("_conv").eqNullSafe(F.col("conv_id"))
+    # Only conversations of so many messages can have crowded segments. Their messages, all of them
+    # different, are range-sorted; the ranges are the buckets of the running count.
+    long = chosen.filter(F.col("n_messages") > turns_per_row)
+    order = ["turn", "role", "text"]
+    sorted_ = stored(
+        spoken.join(long, same, "left_semi").distinct().repartitionByRange("_conv", *order)
+        .withColumn("_bucket", F.spark_partition_id()),
+        "chat-long",
+    )
+    sizes = sorted_.groupBy("_conv", _segment(F.col("turn"), turns_per_row).alias("segment")).count()
+    crowded = stored(
+        sizes.filter(F.col("count") > turns_per_row).select(F.col("_conv").alias("conv_id")).distinct(),
+        "chat-crowded",
+    )
+    calm = stored(chosen.join(
+        crowded.withColumnRenamed("conv_id", "_c"), F.col("conv_id").eqNullSafe(F.col("_c")), "left_anti"
+    ), "chat-calm")
+    numbered = running_total(
+        sorted_.join(crowded, same, "left_semi"), "_conv", "_bucket", order, F.lit(1), "_before"
+    )
+    message = F.struct(*order).alias("_m")
+    kept = spoken.join(calm, same, "left_semi").select(
+        "_conv", message, _segment(F.col("turn"), turns_per_row).alias("segment")
+    ).unionByName(
+        numbered.select("_conv", message, F.floor(F.col("_before") / turns_per_row).cast("long").alias("segment"))
     )
-    kept = own.join(chosen, F.col("_conv").eqNullSafe(F.col("conv_id")), "left_semi")
     line = lambda m: F.concat(F.lit(OPEN), m["role"], F.lit(MIDDLE), m["text"], F.lit(CLOSE))
     texts = kept.groupBy("_conv", "segment").agg(
         F.array_join(F.transform(F.sort_array(F.collect_set("_m")), line), "").alias("text")
     )
-    return texts.join(chosen, F.col("_conv").eqNullSafe(F.col("conv_id"))).select(
+    return texts.join(chosen, same).select(
         "conv_id", "segment", "n_messages", "n_copies", "text"
     )
 
