@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from aerolith.session import stored
 
 NEAREST = 20
-FACTOR = 0.4
+FACTOR = 0.8
 SAMPLE = 4096
 SHARDS_DEEP = 4
 SHARD_ROWS = 50_000
