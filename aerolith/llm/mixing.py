@@ -2,10 +2,11 @@
 
 Documents of a source queue in an order shuffled by hash, twice over, as a source may be repeated up
 to `REPEATS` times. A copy's virtual finish time is the source's words up to and with it, divided by
-the source's weight. All copies are range-sorted by that time and served until the total budget is
-used up. Service is shared as in the fluid model of fair queueing: when the budget ends, each source
-has been served its weight's share, and the one copy it is in the middle of is cut there. So targets
-are met to the word, and a source that runs dry leaves its share to the others.
+the source's weight. What is taken is worked out per source, not by sorting the copies: one level of
+virtual time is found at which the total budget is used up, and each source is served up to it, as
+in the fluid model of fair queueing. The one copy it is in the middle of is cut there. So targets are
+met to the word, and a source that runs dry leaves its share to the others. The sort by virtual
+finish time gives the order of the rows alone.
 
 Words, the budget and the order depend on rows alone, not on partitions, so reruns agree.
 """
