@@ -137,3 +137,75 @@ SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
 FROM bits
 WINDOW same AS (PARTITION BY payload)
 """
+
+# Whole components as doubles hold every sum exactly.
+_WHOLE = r"""
+  SELECT vec_id, label, [floor(x * CAST(256 AS DOUBLE)) FOR x IN CAST(embedding AS DOUBLE[])] AS whole
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x FOR x IN CAST(embedding AS DOUBLE[]) IF x IS NULL OR NOT isfinite(x)]) = 0
+"""
+
+_NEAREST = r"""near{i} AS (
+  SELECT r, part, v, min(away) AS away, arg_min(entry, (away, entry)) AS entry
+  FROM (
+    SELECT r, p.part, v, entry,
+           list_inner_product(v, v) - 2 * list_inner_product(v, e) + list_inner_product(e, e) AS away
+    FROM pieces p JOIN books{i} b ON p.part = b.part)
+  GROUP BY r, part, v
+)"""
+
+_AVERAGES = r"""means{i} AS (
+  SELECT part, entry, list(floor(total / n) ORDER BY j) AS e
+  FROM (
+    SELECT part, entry, j, sum(v[j]) AS total, count(*) AS n
+    FROM near{i}, range(1, 5) t(j) GROUP BY part, entry, j)
+  GROUP BY part, entry
+), books{next} AS (
+  SELECT b.part, b.entry, coalesce(m.e, b.e) AS e
+  FROM books{i} b LEFT JOIN means{i} m ON b.part = m.part AND b.entry = m.entry
+)"""
+
+CODES = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, * FROM ({_WHOLE})
+), pieces AS (
+  SELECT r, part, whole[part * 4 + 1 : part * 4 + 4] AS v FROM kept, range(16) t(part)
+), seeds AS (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS entry, whole
+  FROM (SELECT vec_id, min(whole) AS whole FROM kept WHERE vec_id IS NOT NULL
+        GROUP BY vec_id ORDER BY vec_id LIMIT 64)
+), books0 AS (
+  SELECT part, entry, whole[part * 4 + 1 : part * 4 + 4] AS e FROM seeds, range(16) t(part)
+), {", ".join(_NEAREST.format(i=i) + ", " + _AVERAGES.format(i=i, next=i + 1) for i in (0, 1))},
+{_NEAREST.format(i=2)}, coded AS (
+  SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(away) AS BIGINT) AS error
+  FROM near2 GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, label,
+  (SELECT sha256(string_agg(array_to_string([CAST(x AS BIGINT) FOR x IN e], ','), ',' ORDER BY part, entry))
+   FROM books2) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+"""
+
+NEGATIVES = f"""
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, whole
+  FROM ({_WHOLE}) WHERE label IS NOT NULL AND vec_id IS NOT NULL
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_inner_product(a.whole, c.whole) AS BIGINT) AS score
+  FROM kept a JOIN kept c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score,
+         n.vec_id AS negative_id, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS place
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+    AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE place <= 3
+"""

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerolith.llm import chat, licences, mixing, neighbours, oracles, packing, quality, simhash, toxicity, urls, warc
+from aerolith.llm import (
+    chat, codes, licences, mixing, negatives, neighbours, oracles, packing, quality, simhash, toxicity, urls, warc,
+)
 from aerolith.llm.common import table
+from aerolith.llm.vectors import whole_vectors
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -97,6 +100,17 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.drop("n_lines", "n_capitals")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some labels are moved on by one first, as mislabelled rows are."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return negatives.hard_negatives(whole_vectors(vectors, "label"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_chat_snapshots": op1_chat_snapshots,
     "op2_warc_index": op2_warc_index,
@@ -108,10 +122,14 @@ QUERIES = {
     "op8_licences": op8_licences,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES = {
     "op1_chat_snapshots": oracles.CHAT,
     "op5_url_filters": oracles.URLS,
     "op2_warc_index": oracles.WARC,
     "op4_mixing": oracles.MIXING,
+    "op12_vector_codes": oracles.CODES,
+    "op13_hard_negatives": oracles.NEGATIVES,
 }
