@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolith.llm import (
-    chat, codes, licences, mixing, negatives, neighbours, oracles, packing, quality, simhash, toxicity, urls, warc,
+    chat, codes, licences, mixing, negatives, neighbours, oracles, packing, pii, quality, simhash, toxicity, urls, warc,
 )
 from aerolith.llm.common import table
 from aerolith.llm.vectors import whole_vectors
@@ -100,6 +100,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.drop("n_lines", "n_capitals")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_report(table(spark, sf_dir, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -122,6 +126,7 @@ QUERIES = {
     "op8_licences": op8_licences,
     "op9_quality": op9_quality,
     "op10_toxicity": op10_toxicity,
+    "op11_personal_data": op11_personal_data,
     "op12_vector_codes": op12_vector_codes,
     "op13_hard_negatives": op13_hard_negatives,
 }
