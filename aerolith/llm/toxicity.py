@@ -41,7 +41,7 @@ THREATS = (
 ).split()
 
 LABELLED_ROWS = 50_000
-LEXICON_ENTRIES = 20_000
+LEAST_DOCUMENTS = 3  # toxic documents of the sample that an entry of the lexicon needs
 CUTOFF = 0.7
 
 _PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -259,17 +259,18 @@ def _count_features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
-def learn_lexicon(sample: DataFrame, entries: int) -> dict[str, list[float]]:
+def learn_lexicon(sample: DataFrame) -> dict[str, list[float]]:
     """Words and beginnings that mark toxic documents, with the lower bound of their log odds: over
     all documents, without one clean document that has them, and without one toxic one.
 
-    Counts are of documents. The empty feature counts all of them.
+    Counts are of documents. The empty feature counts all of them. The size of the sample bounds the
+    lexicon: every entry is in `LEAST_DOCUMENTS` of its toxic documents.
     """
     counted = stored(
         sample.mapInArrow(_count_features, "feature string, toxic long, clean long")
         .groupBy("feature")
         .agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
-        .filter((F.col("t") >= 3) | (F.col("feature") == "")),
+        .filter((F.col("t") >= LEAST_DOCUMENTS) | (F.col("feature") == "")),
         "toxicity-features",
     )
     total = counted.filter(F.col("feature") == "").first()
@@ -286,8 +287,7 @@ def learn_lexicon(sample: DataFrame, entries: int) -> dict[str, list[float]]:
     sure = counted.filter(F.col("feature") != "").select(
         "feature", bound(t, c).alias("odds"), F.array(bound(t, c), bound(t, c - 1), bound(t - 1, c)).alias("w")
     )
-    best = sure.filter(F.col("odds") > _LEAST_ODDS).orderBy(F.desc("odds"), "feature")
-    return {r["feature"]: r["w"] for r in best.limit(entries).collect()}
+    return {r["feature"]: r["w"] for r in sure.filter(F.col("odds") > _LEAST_ODDS).collect()}
 
 
 def fit(x: np.ndarray, y: np.ndarray, prior: np.ndarray, steps: int = 30) -> np.ndarray:
@@ -309,7 +309,6 @@ def train(
     docs: DataFrame,
     labels: DataFrame,
     limit: int = LABELLED_ROWS,
-    entries: int = LEXICON_ENTRIES,
 ) -> Model:
     """Learn from the documents of at most `limit` labelled ids; `docs` needs doc_id and text.
 
@@ -319,14 +318,15 @@ def train(
     sample = F.broadcast(stored(labelled_sample(labels, limit), "toxicity-sample"))
     own = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     joined = own.join(sample, "_id")
-    found = learn_lexicon(joined.select("_text", "_toxic"), entries)
+    found = learn_lexicon(joined.select("_text", "_toxic"))
     prior = np.array([-3.0, *(prior_weight(p) for p in PATHS), 1.0, 0.5])
     if not found:
         return Model({}, prior)
+    # A document is measured by what the others say of its words.
+    without = [{f: w[1 + k] for f, w in found.items() if w[1 + k] > 0} for k in (0, 1)]
 
     def measure(batches):
-        # A document is measured by what the others say of its words.
-        others = [Lexicon({f: max(w[1 + k], 0.0) for f, w in found.items()}) for k in (0, 1)]
+        others = [Lexicon(entries) for entries in without]
         for batch in batches:
             ids, texts, toxic = batch.columns
             rows = [
@@ -338,7 +338,7 @@ def train(
             )
 
     measured = joined.select("_id", "_text", F.col("_toxic").cast("int")).mapInArrow(
-        measure, "id long, toxic int, sums array<double>"
+        measure, f"id {docs.schema['doc_id'].dataType.simpleString()}, toxic int, sums array<double>"
     )
     # A repeated id counts once, so no more rows come back than there are labels in the sample.
     rows = measured.groupBy("id").agg(F.max("toxic"), F.max("sums")).collect()
@@ -354,15 +354,13 @@ def train(
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score of every row. Null and empty texts get the score of a text without matches;
     repeated rows are each scored; other columns are not read."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
-        own = shared.value
-        lexicon = Lexicon(own.entries)
+        lexicon = Lexicon(model.entries)
         for batch in batches:
             ids, texts = batch.columns
             sums = [path_sums(t.as_py(), lexicon) for t in texts]
-            scores = own.score(np.array(sums).reshape(-1, len(PATHS) + 1))
+            scores = model.score(np.array(sums).reshape(-1, len(PATHS) + 1))
             yield pa.RecordBatch.from_arrays([ids, pa.array(scores)], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -371,16 +369,14 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, model: Model, cutoff: float = CUTOFF) -> DataFrame:
     """The rows of `docs` that score below `cutoff`, with all their columns. Nothing is shuffled."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def keep(batches):
-        own = shared.value
-        lexicon = Lexicon(own.entries)
+        lexicon = Lexicon(model.entries)
         for batch in batches:
             if batch.num_rows:
                 sums = np.array([path_sums(t.as_py(), lexicon) for t in batch.column(at)])
-                yield batch.filter(pa.array(own.score(sums) < cutoff))
+                yield batch.filter(pa.array(model.score(sums) < cutoff))
 
     return docs.mapInArrow(keep, docs.schema)
 
