@@ -122,25 +122,30 @@ def _repeat_words(words: Column) -> Column:
         packed = F.transform(hashes, lambda h, i: h.bitwiseAND(~_PLACES).bitwiseOR(i.cast("long")))
         few = let(F.sort_array(packed), suspects)
         every = F.sequence(F.lit(0), F.size(hashes) - 1)
-        return (
-            F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0))
-            .when(F.size(hashes) <= _PLACES, let(few, lambda p: placed(hashes, p)))
-            .otherwise(let(every, lambda p: placed(hashes, p)))
-        )
+        worth = F.when(F.size(hashes) <= _PLACES, few).otherwise(every)
+        distinct = F.size(F.array_distinct(hashes)) == F.size(hashes)
+        return F.when(distinct, F.lit(0)).otherwise(let(worth, lambda p: placed(hashes, p)))
 
     return let(windows, count)
 
 
-def document_figures(docs: DataFrame) -> DataFrame:
-    """doc_id, stratum and the figures of every document, one row for each row of `docs`."""
+def stratum_of(lang: Column) -> Column:
+    """A key per language: `=` and its name, and the empty text for null."""
+    return F.coalesce(F.concat(F.lit("="), lang), F.lit(""))
+
+
+def document_figures(docs: DataFrame, *keep: Column) -> DataFrame:
+    """`keep` (doc_id if none), stratum and the figures of every document, one row for each row of
+    `docs`."""
     found = text_figures(F.col("text"))
+    kept = keep or (F.col("doc_id"),)
     raw = docs.select(
-        "doc_id",
-        F.coalesce(F.col("lang"), F.lit("")).alias("stratum"),
+        *kept,
+        stratum_of(F.col("lang")).alias("stratum"),
         *[expression.alias(name) for name, expression in found.items()],
     )
     return raw.select(
-        "doc_id",
+        *raw.columns[: len(kept)],
         "stratum",
         *["of_words.n_words", "of_words.word_chars", "n_symbols", "of_lines.n_dup_lines"],
         *["of_words.n_repeat_words", "of_lines.n_lines", "n_capitals"],
@@ -204,19 +209,19 @@ def choose_cutoffs(
         .agg(F.max("quality").alias("_good"))
     )
     above = lambda figure, cutoffs: sum((figure > c).cast("int") for c in cutoffs)
-    passed = figures.filter(~base_failed()).select(
-        "doc_id",
-        "stratum",
-        F.array(*[
-            F.struct(F.lit(name).alias("rule"), above(figure, cutoffs).alias("level"))
-            for name, (figure, cutoffs) in rules.items()
-        ]).alias("levels"),
+    levels = F.array(*[above(figure, cutoffs) for figure, cutoffs in rules.values()]).alias("levels")
+    joined = figures.join(verdicts, F.col("doc_id") == F.col("_labelled"))
+    # Documents agree in their levels far more often than not, so they are counted by all five first.
+    together = joined.groupBy("stratum", levels).agg(
+        F.count_if(~base_failed() & (F.col("_good") > 0)).alias("good"),
+        F.count_if(~base_failed() & (F.col("_good") <= 0)).alias("bad"),
     )
-    joined = passed.join(verdicts, F.col("doc_id") == F.col("_labelled"))
+    each = F.arrays_zip(F.array(*[F.lit(name) for name in rules]).alias("rule"), F.col("levels").alias("level"))
     counts = stored(
-        joined.select("stratum", "_good", F.inline("levels"))
+        together.select("stratum", "good", "bad", F.inline(each).alias("rule", "level"))
         .groupBy("stratum", "rule", "level")
-        .agg(F.count_if(F.col("_good") > 0).alias("good"), F.count_if(F.col("_good") <= 0).alias("bad")),
+        .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+        .filter("good + bad > 0"),
         "quality-counts",
     )
     strata = counts.select("stratum").distinct().count()
@@ -282,15 +287,9 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs` that pass, with their own columns.
 
-    Figures are worked out twice, for choosing the cutoffs and for applying them: cheaper than
-    shuffling the texts to join them.
+    Rows are stored with their figures once, as measuring a text costs far more than reading it
+    again; texts are not shuffled.
     """
-    cutoffs = choose_cutoffs(document_figures(docs), labels)
-    whole = docs.select(F.struct("*").alias("_row"))
-    figures = text_figures(F.col("_row.text"))
-    measured = whole.select(
-        "_row",
-        F.coalesce(F.col("_row.lang"), F.lit("")).alias("stratum"),
-        *[expression.alias(name) for name, expression in figures.items()],
-    ).select("_row", "stratum", "of_words.*", "of_lines.*", "n_symbols", "n_capitals")
-    return judge(measured, cutoffs).filter("kept").select("_row.*")
+    measured = stored(document_figures(docs, F.struct("*").alias("_row")), "quality-measured")
+    figures = measured.select("_row.doc_id", *measured.columns[1:])
+    return judge(measured, choose_cutoffs(figures, labels)).filter("kept").select("_row.*")
