@@ -1,12 +1,12 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Documents of a source queue in an order shuffled by hash, twice over, as a source may be repeated up
-to `REPEATS` times. A copy's virtual finish time is the source's words up to and with it, divided by
-the source's weight. What is taken is worked out per source, not by sorting the copies: one level of
-virtual time is found at which the total budget is used up, and each source is served up to it, as
-in the fluid model of fair queueing. The one copy it is in the middle of is cut there. So targets are
-met to the word, and a source that runs dry leaves its share to the others. The sort by virtual
-finish time gives the order of the rows alone.
+Documents of a source queue in an order shuffled by hash, `REPEATS` times over, as a source may be
+repeated. A copy's virtual finish time is the source's words up to and with it, divided by the
+source's weight. All copies are ordered by it, in ranges; running totals along that order tell how
+many words fair queueing has served by each copy's finish, and the first copy by whose finish the
+total budget is used up is where the mix is truncated. Copies before it are whole, those after it
+that are already in service at that moment are cut there, so that small sources with long documents
+meet their targets, too; the rest get nothing. A source that runs dry leaves its share to the others.
 
 Words, the budget and the order depend on rows alone, not on partitions, so reruns agree.
 """
@@ -15,13 +15,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from aerolith.llm.common import WORD, running_total
+from aerolith.llm.common import WORD, running, running_total
 from aerolith.session import stored
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 REPEATS = 2
 SEED = "mix"
+_RANGES = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -103,11 +104,16 @@ def queue(
     order = ["key", "doc_id", "size"]
     placed = running_total(joined, "place", "bucket", order, F.col("size"), "before")
 
+    placed = stored(placed, "mix-placed")
+    level = truncation(placed, targets, share, repeats)
+    # What a source has been served when the mix ends; without a cut, all its copies.
+    end = F.round(F.least(F.col("weight") * F.lit(level), (F.col("source_size") * repeats).cast("double"))).cast("long")
+
     def copy(n: Column) -> Column:
-        start = n * F.col("source_size") + F.col("before")
-        taken = F.least(F.col("size"), F.round("target").cast("long") - start)
-        finish = (start + F.col("size")) / F.col("weight")
-        return F.struct(n.alias("copy"), taken.alias("taken"), finish.alias("virtual_finish"))
+        start, finish = _service(n)
+        return F.struct(
+            n.alias("copy"), F.least(F.col("size"), end - start).alias("taken"), finish.alias("virtual_finish")
+        )
 
     copies = F.transform(F.sequence(F.lit(0), F.lit(repeats - 1)), copy)
     served = F.filter(copies, lambda c: c["taken"] > 0)
@@ -116,6 +122,50 @@ def queue(
     )
 
 
+def _service(copy: Column) -> tuple[Column, Column]:
+    """Words that the source has served before this copy, and the copy's virtual finish time."""
+    start = copy * F.col("source_size") + F.col("before")
+    return start, (start + F.col("size")) / F.col("weight")
+
+
+def truncation(placed: DataFrame, targets: DataFrame, share: float, repeats: int) -> float:
+    """The virtual time at which the budget is used up; infinite if all copies fit in.
+
+    By a copy's finish time f, sources that have finished their last copy before have served all
+    their words, the others f times their weight. Both totals run along the copies by virtual
+    finish: over ranges first, then inside each, so no task holds more than a range.
+    """
+    with_words = targets.filter("source_size > 0")
+    whole = with_words.agg(
+        F.sum("weight").alias("weight"), F.sum("source_size").alias("words"),
+        F.max(F.col("source_size") * repeats / F.col("weight")).alias("last"),
+    ).first()  # one line
+    if not whole["words"]:
+        return float("inf")
+    start, finish = _service(F.col("copy"))
+    last = start + F.col("size") == F.col("source_size") * repeats
+    copies = (
+        placed.filter("size > 0")
+        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+        .select(
+            F.lit(0).alias("all"), "place", "copy", finish.alias("finish"),
+            F.when(last, F.col("source_size") * repeats).otherwise(0).alias("dry"),
+            F.when(last, F.col("weight")).otherwise(0.0).alias("dry_weight"),
+        )
+        .withColumn("range", F.floor(F.col("finish") / F.lit(whole["last"]) * _RANGES).cast("int"))
+    )
+    add = lambda a, b: a + b
+    along = running(
+        stored(copies, "mix-copies"), "all", "range", ["finish", "place", "copy"],
+        {"done": (F.sum, add, F.col("dry")), "idle": (F.sum, add, F.col("dry_weight"))},
+    )
+    budget, busy = F.lit(whole["words"] * float(share)), F.lit(whole["weight"]) - F.col("idle")
+    used_up = F.col("done") + busy * F.col("finish") >= budget
+    level = F.min(F.when(used_up, F.struct("finish", "place", "copy", ((budget - F.col("done")) / busy).alias("level"))))
+    found = along.agg(level.alias("at")).first()["at"]  # one line
+    return found["level"] if found else float("inf")
+
+
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: a row per copy served, range-sorted by virtual finish time."""
     copies = queue(docs, **settings).select("doc_id", "source", "key", "size", "target", F.inline("served"))
