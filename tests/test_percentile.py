@@ -9,6 +9,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 
 from aerolith.operators.percentile import rank_percentile
 
+from jobs import no_jobs
+
 SCHEMA = "k string, v double"
 
 
@@ -48,10 +50,8 @@ def test_narrowing_is_exact(spark, q):
 
 def test_no_job_while_building_and_no_null_groups(spark):
     df = spark.createDataFrame(skewed_rows(), SCHEMA)
-    tracker, group = spark.sparkContext.statusTracker(), "building"
-    spark.sparkContext.setJobGroup(group, group)
-    result = rank_percentile(df, ["k"], "v", 0.5, "p")
-    assert len(tracker.getJobIdsForGroup(group)) == 0
+    with no_jobs(spark):
+        result = rank_percentile(df, ["k"], "v", 0.5, "p")
     assert "null" not in {r.k for r in result.collect()}
 
 
