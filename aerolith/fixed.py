@@ -17,6 +17,9 @@ HOURLY_MEASURES = {
     "shortwave_radiation": "shortwave_radiation_w_m2",
 }
 
+# Where feeds disagree on an hour: the pulled ones count alike, the live sensors only fill gaps.
+FEED_RANKS = {"historical": 1, "daily": 1, "streaming": 0}
+
 # The six pollutants that are kept.
 POLLUTANTS = ["pm25", "pm10", "o3", "no2", "so2", "co"]
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from aerolith.fixed import POLLUTANTS
 from aerolith.operators.dedupe import dedupe_latest
-from aerolith.operators.percentile import weighted_percentile
+from aerolith.operators.merge import merge_hours
+from aerolith.operators.percentile import rank_percentile
 
 CITY_DAY = ["city_id", "observation_date"]
 
@@ -73,6 +74,14 @@ def weather_daily_latest(staged: DataFrame) -> DataFrame:
     return weather_daily(dedupe_latest(rows, ["city_id", "observation_ts"], "ingested_at", order))
 
 
+def weather_daily_merged(staged: DataFrame) -> DataFrame:
+    """merge_hours and the roll-up, for feeds of unequal rank: live events beside pulled hours."""
+    rows = staged.select(
+        "city_id", "city_name", "observation_ts", *DAILY_INPUTS, "source_kind", "ingested_at"
+    )
+    return weather_daily(merge_hours(rows))
+
+
 def batch_daily(raw: DataFrame) -> DataFrame:
     """Raw hours to days, as the batch job needs them: no deduplication, eight measures."""
     return _by_day(raw, _BATCH)
@@ -94,8 +103,8 @@ def air_daily(staged: DataFrame, dedupe: bool = False) -> DataFrame:
     group repeats them in a row of its own. `dedupe` first keeps only the latest landing of each
     sensor's day: overlapping landings otherwise count more than once.
 
-    Readings that agree in sensor, value and names are counted first, partially before the exchange;
-    median and other figures both start from that one exchange.
+    The other figures are partially aggregated where the readings are scanned, and the medians read
+    keys and values alone, so neither carries what it does not need through an exchange.
     """
     keys = [*CITY_DAY, "parameter_name"]
     rows = staged
@@ -104,22 +113,23 @@ def air_daily(staged: DataFrame, dedupe: bool = False) -> DataFrame:
             staged, [*CITY_DAY, "sensor_id", "parameter_name"], "ingested_at",
             ["normalised_value", "measurement_count"],
         )
-    counted = (
-        rows.filter(F.col("normalised_value").isNotNull())
-        .groupBy(*keys, F.col("normalised_value").alias("v"), "sensor_id", "city_name", "parameter_units")
-        .agg(F.count(F.lit(1)).alias("w"), F.sum("measurement_count").alias("m"))
+    rows = rows.filter(F.col("normalised_value").isNotNull())
+    v = F.col("normalised_value")
+    by_sensor = rows.groupBy(*keys, "sensor_id", "city_name", "parameter_units").agg(
+        F.sum(v).alias("sum"), F.count(F.lit(1)).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"),
+        F.sum("measurement_count").alias("m"),
     )
-    figures = counted.groupBy(*keys).agg(
-        (F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias("mean_value"),
-        F.min("v").alias("min_value"),
-        F.max("v").alias("max_value"),
+    figures = by_sensor.groupBy(*keys).agg(
+        (F.sum("sum") / F.sum("n")).alias("mean_value"),
+        F.min("low").alias("min_value"),
+        F.max("high").alias("max_value"),
         F.count_distinct("sensor_id").alias("sensor_count"),
         F.sum("m").alias("total_measurements"),
         # A usable reading's unit follows from its pollutant, so these are the names one city goes
         # by within one day.
         F.collect_set(F.struct("city_name", "parameter_units")).alias("labels"),
     )
-    medians = weighted_percentile(counted, keys, 0.5, "median_value")
+    medians = rank_percentile(rows, keys, "normalised_value", 0.5, "median_value")
     same = reduce(
         lambda a, b: a & b, [F.col(f"f.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
     )

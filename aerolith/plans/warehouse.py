@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from aerolith import fixed
 from aerolith.functions import columns as C
-from aerolith.operators.daily import CITY_DAY, air_daily, pollutants_wide, weather_daily_latest
+from aerolith.operators.daily import (
+    CITY_DAY, air_daily, pollutants_wide, weather_daily_latest, weather_daily_merged,
+)
 
 _PLACE = ["city_id", "city_name", "latitude", "longitude", "elevation_m"]
 
@@ -144,11 +146,20 @@ def fct_stress(weather: DataFrame, air: DataFrame) -> DataFrame:
     )
 
 
+def weather_days(staged: DataFrame, live: bool = False) -> DataFrame:
+    """Staged hours to days.
+
+    The two pulled feeds are versions of each other, so an hour's latest row stands. With `live`
+    events among them, hours are merged by measure instead: an event is no full version of an hour.
+    """
+    return weather_daily_merged(staged) if live else weather_daily_latest(staged)
+
+
 def weather_mart(
     hist: DataFrame, daily: DataFrame, dim: DataFrame, stream: DataFrame | None = None
 ) -> DataFrame:
     """Raw feeds to fct_weather in one plan."""
-    return fct_weather(weather_daily_latest(stage_weather(hist, daily, stream)), dim)
+    return fct_weather(weather_days(stage_weather(hist, daily, stream), stream is not None), dim)
 
 
 def air_mart(raw: DataFrame, dim: DataFrame, dedupe: bool = False) -> DataFrame:
