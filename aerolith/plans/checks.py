@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from aerolith.fixed import (
     CLIMATE_ZONES, POLLUTANTS, POPULATION_TIERS, SCORE_CAP, TOP_CLIMATE_ZONE, TOP_POPULATION_TIER,
 )
 from aerolith.operators.quality import (
-    accepted_range, accepted_values, not_null, relationship, run_checks, unique,
+    Check, accepted_range, accepted_values, not_null, relationship, row_condition, run_checks, unique,
 )
 
 _ZONES = [name for _, name in CLIMATE_ZONES] + [TOP_CLIMATE_ZONE]
@@ -68,11 +70,54 @@ CHECKS = {
 }
 
 
-def check_models(models: dict[str, DataFrame], cities: DataFrame) -> DataFrame:
+class Watch:
+    """Checks on single rows, counted while the jobs that read the models run anyway.
+
+    `over` marks a frame; whatever is built from the marked frame counts its failing rows on the way,
+    and `report` gives the totals once those jobs are done. Frames marked for one model add up. A
+    task that is run again after its executor was lost may count its rows twice: a failed check can
+    show more failures than there are, but never turns into a passed one, nor the other way round.
+    """
+
+    def __init__(self):
+        self._marks: list[tuple[str, list[Check], Observation]] = []
+
+    def over(self, model: str, df: DataFrame) -> DataFrame:
+        checks = [c for c in CHECKS[model] if row_condition(c) is not None]
+        if not checks:
+            return df
+        mark = Observation(f"{model}-{uuid4().hex}")
+        self._marks.append((model, checks, mark))
+        return df.observe(mark, *[F.count_if(row_condition(c)).alias(f"_{i}") for i, c in enumerate(checks)])
+
+    def counted(self, model: str) -> list[Check]:
+        return [c for name, checks, _ in self._marks if name == model for c in checks]
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """The lines of all marked models. Only after the jobs: it waits for their counts."""
+        failures: dict[tuple[str, Check], int] = {}
+        for model, checks, mark in self._marks:
+            found = mark.get
+            for i, check in enumerate(checks):
+                failures[model, check] = failures.get((model, check), 0) + found[f"_{i}"]
+        lines = [(model, c.column, c.kind, c.severity, n) for (model, c), n in failures.items()]
+        names = ["model", "column", "test", "severity", "failures"]
+        kinds = [pa.string()] * 4 + [pa.int64()]
+        columns = list(zip(*lines)) or [()] * 5
+        return spark.createDataFrame(pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=names))
+
+
+def check_models(
+    models: dict[str, DataFrame], cities: DataFrame, watch: Watch | None = None
+) -> DataFrame:
     """One report over all the given models that have checks. Marts refer to `dim_cities`, the rest
-    to the list of cities; where no `dim_cities` is given, that list stands in."""
+    to the list of cities; where no `dim_cities` is given, that list stands in. What `watch` has
+    counted is reported from there and not looked for again."""
     parents = {"cities": cities, "dim_cities": models.get("dim_cities", cities)}
-    reports = [
-        run_checks(name, df, CHECKS[name], parents) for name, df in models.items() if name in CHECKS
-    ]
+    reports = [watch.report(cities.sparkSession)] if watch else []
+    for name, df in models.items():
+        counted = watch.counted(name) if watch else []
+        checks = [c for c in CHECKS.get(name, []) if c not in counted]
+        if checks:
+            reports.append(run_checks(name, df, checks, parents))
     return reduce(DataFrame.unionByName, reports)
