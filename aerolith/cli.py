@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolith import schemas
 from aerolith.plans import batch
+from aerolith.plans.checks import Watch
 from aerolith.session import build_session
 from aerolith.sources import payloads, scan, sinks
 from aerolith.streaming import sink
@@ -25,10 +26,11 @@ def warehouse(spark: SparkSession, args: argparse.Namespace) -> None:
     air = scan.read_partitioned(spark, args.air, schemas.AIR_RAW, schemas.DAY_PATH)
     cities = scan.read_cities(spark, args.cities)
     stream = _landed_stream(spark, args.stream) if args.stream else None
+    watch = Watch()
     marts = batch.build_warehouse(
-        spark, hist, daily, air, cities, args.out, stream, args.dedupe_air
+        spark, hist, daily, air, cities, args.out, stream, args.dedupe_air, watch
     )
-    report = batch.check_warehouse(hist, daily, air, cities, marts, stream)
+    report = batch.check_warehouse(hist, daily, air, cities, marts, stream, watch)
     # One line per check, so a few dozen at most.
     failed = report.filter("failures > 0").collect()
     for row in failed:
@@ -65,7 +67,7 @@ def land_air(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Run the sink, and the dead-letter sink if asked for, until stopped."""
+    """Run the sink, with a folder for dead letters if asked for, until stopped."""
     if args.servers:
         source = sink.kafka_source(
             spark, args.servers, args.topic, args.batch_rows, args.batch_seconds, args.max_rows
@@ -77,18 +79,11 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         source, trigger = sink.file_source(spark, args.folder), None
     if args.once:
         trigger = {"availableNow": True}
-    queries = [sink.start_sink(source, args.out, f"{args.checkpoint}/events", trigger)]
     if args.dead_letters:
-        queries.append(
-            sink.start_dead_letters(
-                source, args.dead_letters, f"{args.checkpoint}/dead-letters", trigger
-            )
-        )
-    if args.once:
-        for query in queries:
-            query.awaitTermination()
+        query = sink.start_router(source, args.out, args.dead_letters, args.checkpoint, trigger)
     else:
-        spark.streams.awaitAnyTermination()
+        query = sink.start_sink(source, args.out, f"{args.checkpoint}/events", trigger)
+    query.awaitTermination()
 
 
 def register(spark: SparkSession, args: argparse.Namespace) -> None:
