@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from aerolith.operators.climate import heat_episodes
 from aerolith.sources.scan import between_dates, for_cities
@@ -87,3 +87,25 @@ def dashboard_slice(
     """The date-range and city filters; both reach the scan of a stored mart."""
     mart = between_dates(mart, start, end)
     return for_cities(mart, cities) if cities else mart
+
+
+def calendar(spark: SparkSession, first: str | date, last: str | date) -> DataFrame:
+    """A row per month from `first` to `last`, with what months are chosen by."""
+    months = F.explode(F.sequence(F.trunc(F.to_date(F.lit(str(first))), "MM"), F.to_date(F.lit(str(last))), F.expr("interval 1 month")))
+    return spark.range(1).select(months.alias("first_day")).select(
+        F.year("first_day").alias("observation_year"),
+        F.month("first_day").alias("observation_month"),
+        F.quarter("first_day").alias("quarter"),
+        F.dayofmonth(F.last_day("first_day")).alias("days"),
+    )
+
+
+def slice_by_months(mart: DataFrame, months: DataFrame) -> DataFrame:
+    """The mart's rows of the given months. Of a stored mart, only their folders are read: the
+    filter on the months reaches the scan while the query runs."""
+    return mart.join(months.select("observation_year", "observation_month"), ["observation_year", "observation_month"], "left_semi")
+
+
+def slice_by_cities(mart: DataFrame, cities: DataFrame) -> DataFrame:
+    """The mart's rows of the given cities of the dimension, such as those of a climate zone."""
+    return mart.join(cities.select("city_id"), "city_id", "left_semi")

@@ -24,6 +24,24 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return documents.withColumnRenamed("value", "payload")
 
 
+def told_apart(payloads: DataFrame, array: str) -> tuple[DataFrame, DataFrame]:
+    """Documents that hold the array they are for (a path such as `hourly.time`), and the others with
+    the `reason`. Every document is in one of the two; both keep all columns.
+
+    Documents are parsed as VARIANT, so anything that is JSON can be looked into.
+    """
+    document = F.try_parse_json("payload")
+    found = F.try_variant_get(document, f"$.{array}", "variant")
+    reason = (
+        F.when(F.coalesce(F.trim("payload"), F.lit("")) == "", "empty")
+        .when(document.isNull(), "not JSON")
+        .when(found.isNull() | F.is_variant_null(found), f"no {array}")
+        .when(~F.startswith(F.schema_of_variant(found), F.lit("ARRAY")), f"{array} is no array")
+    )
+    judged = payloads.withColumn("reason", reason)
+    return judged.filter("reason IS NULL").drop("reason"), judged.filter("reason IS NOT NULL")
+
+
 def hourly_rows(payloads: DataFrame, cities: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """(city_id, payload) to one row per hour in the raw weather layout.
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from aerolith import fixed, schemas
@@ -29,13 +32,59 @@ def read_partitioned(
 def read_weather(spark: SparkSession, path: str) -> DataFrame:
     """Hourly weather in either layout, with time columns that arrive as nanoseconds converted.
 
-    The schema is that of all footers together, so a column that only some files have is kept. Files
-    with nanosecond times beside others in one folder cannot be told apart while reading and would
-    give wrong times: merging their footers stops the read instead. Read such files as folders of
-    their own and union them. Needs spark.sql.legacy.parquet.nanosAsLong for nanosecond files.
+    The schema is that of all footers together, so a column that only some files have is kept. A
+    folder may hold files with nanosecond times beside files with microseconds: they are told apart
+    by their footers, each group is read with its own schema, and the groups are put together.
+    Needs spark.sql.legacy.parquet.nanosAsLong for nanosecond files.
     """
-    layout = pin_city(spark.read.option("mergeSchema", "true").parquet(path).schema)
-    return convert_nanos(spark.read.schema(layout).parquet(path))
+    whole = merged_schema(spark, [path], path)
+    if whole is not None:
+        return convert_nanos(spark.read.schema(pin_city(whole)).parquet(path))
+    groups: dict[tuple, tuple[T.StructType, list[str]]] = {}
+    for schema, files in alike(spark, data_files(spark, path), path):
+        units = tuple(schema[name].dataType.simpleString() for name in TIME_COLUMNS if name in schema.names)
+        known, before = groups.get(units, (schema, []))
+        more = [f for f in schema if f.name not in known.names]
+        groups[units] = T.StructType([*known, *more]), before + files
+    frames = [
+        convert_nanos(spark.read.schema(pin_city(schema)).option("basePath", path).parquet(*files))
+        for schema, files in groups.values()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def merged_schema(spark: SparkSession, files: list[str], root: str) -> T.StructType | None:
+    """The schema of all footers together, which Spark reads in tasks; None if they do not agree."""
+    reader = spark.read.option("mergeSchema", "true").option("basePath", root)
+    try:
+        return reader.parquet(*files).schema
+    except (PySparkException, Py4JJavaError) as failed:
+        # Raised on the driver or in a task, which wraps it.
+        if "CANNOT_MERGE_SCHEMAS" not in str(failed):
+            raise
+        return None
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """All Parquet files, the oldest first: a writer that changes does so at one point in time.
+
+    As many paths as a scan of the folder lists on the driver anyway.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return [r["path"] for r in found.select("path", "modificationTime").orderBy("modificationTime", "path").collect()]
+
+
+def alike(spark: SparkSession, files: list[str], root: str) -> list[tuple[T.StructType, list[str]]]:
+    """Runs of files whose schemas agree, with their common schema, found by halving.
+
+    A single change costs about as many looks as the number of files has binary digits; each look
+    is one job over the footers of half as many files as the one before.
+    """
+    schema = merged_schema(spark, files, root)
+    if schema is not None:
+        return [(schema, files)]
+    middle = len(files) // 2
+    return alike(spark, files[:middle], root) + alike(spark, files[middle:], root)
 
 
 def pin_city(found: T.StructType) -> T.StructType:

@@ -56,6 +56,19 @@ def write_table(
     writer.saveAsTable(table)
 
 
+def write_bucketed(
+    df: DataFrame, table: str, keys: Sequence[str], buckets: int, *, path: str | None = None
+) -> None:
+    """Replace a catalog table bucketed and sorted by `keys`, stored at `path` if given.
+
+    Tables with equal keys and numbers of buckets join and aggregate on those keys without an
+    exchange. Rows are brought to their bucket before writing, so there is a file for each.
+    """
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
+    writer = writer.option("compression", "snappy").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def with_month(df: DataFrame, on: str = "observation_date") -> DataFrame:
     """Add the month partition columns a fact is stored by, where it lacks them."""
     parts = {"observation_year": F.year(on), "observation_month": F.month(on)}
@@ -89,8 +102,10 @@ def land_day(df: DataFrame, root: str, day: str | date) -> None:
     writer.partitionBy("year", "month", "day").option("compression", "snappy").parquet(root)
 
 
-def ensure_namespace(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def ensure_namespace(spark: SparkSession, name: str, path: str | None = None) -> None:
+    """Create the namespace unless it is there; its tables are stored below `path` if given."""
+    where = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
 def _writer(df, partition_by, cluster_by, mode) -> DataFrameWriter:
