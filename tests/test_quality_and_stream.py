@@ -1,11 +1,15 @@
 """Data checks, and the stream sink with restarts."""
 
 import json
+import os
 
 from aerolith import cli, schemas
 from aerolith.operators import quality as Q
-from aerolith.plans.checks import CHECKS
+from aerolith.plans import batch
+from aerolith.plans.checks import CHECKS, Watch, check_models
+from aerolith.sources import scan
 from aerolith.streaming import sink
+from workload import roles
 
 ONCE = {"availableNow": True}
 
@@ -92,3 +96,71 @@ def test_unusable_events_are_kept_apart(spark, path, tmp_path):
     assert len(good) + len(dead) == 6
     assert {r.value for r in dead} == set(broken)
     assert all(r.rejected_at is not None for r in dead)
+
+
+def forget(path, folder, batch):
+    """As if the query had ended before it noted the batch as done."""
+    for name in (f"{batch}", f".{batch}.crc"):
+        os.remove(f"{path('progress')}/{folder}/{name}")
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, path, tmp_path):
+    (tmp_path / "in").mkdir()
+
+    def drain():
+        source = sink.file_source(spark, path("in"), files_per_batch=1)
+        sink.start_router(source, path("out"), path("dead"), path("progress"), ONCE).awaitTermination()
+
+    write_events(path, "1.json", event(1), event(2), "not json")
+    write_events(path, "2.json", event(3), "{")
+    drain()
+    before = sorted(map(str, landed(spark, path)))
+    dead = sorted(map(str, landed(spark, path, "dead")))
+    assert len(before) == 3 and len(dead) == 2
+    forget(path, "commits", 1)
+    drain()
+    # The same rows with the same landing times, in the same folders.
+    assert sorted(map(str, landed(spark, path))) == before
+    assert sorted(map(str, landed(spark, path, "dead"))) == dead
+    write_events(path, "3.json", event(4))
+    drain()
+    assert sorted(r.event_id for r in landed(spark, path)) == ["e1", "e2", "e3", "e4"]
+
+
+def test_events_of_a_city_stay_in_order(spark, path, tmp_path):
+    (tmp_path / "in").mkdir()
+    cities = ["BOG", "MDE", "CLO"]
+    lines = [
+        json.dumps({"event_id": str(i), "city_id": cities[i % 3], "observed_ts": f"2024-03-05T{(i * 7) % 24:02}:{i % 60:02}"})
+        for i in range(600)
+    ]
+    for part in range(6):
+        write_events(path, f"{part}.json", *lines[part::6])
+    source = sink.file_source(spark, path("in"))
+    sink.start_router(source, path("out"), path("dead"), path("progress"), ONCE).awaitTermination()
+    found = {r.city_id: (r.events, r.inversions) for r in sink.order_inversions(spark, path("out")).collect()}
+    assert found == {city: (200, 0) for city in cities}
+    # A folder without that order shows it.
+    spark.read.json(path("in")).orderBy("event_id").coalesce(1).write.parquet(path("loose"))
+    assert sum(r.inversions for r in sink.order_inversions(spark, path("loose")).collect()) > 0
+
+
+def test_checks_counted_on_the_way(spark, path):
+    sf_dir = "/root/testdata/sf0.001"
+    feeds, air = roles.weather_feeds(spark, sf_dir), roles.air(spark, sf_dir)
+    cities = roles.cities(spark, sf_dir)
+    watch = Watch()
+    marts = batch.build_warehouse(spark, *feeds, air, cities, path("a"), watch=watch)
+    with_watch = batch.check_warehouse(*feeds, air, cities, marts, watch=watch)
+    without = batch.check_warehouse(*feeds, air, cities, marts)
+    assert sorted(map(tuple, with_watch.collect())) == sorted(map(tuple, without.collect()))
+    # What was counted needs no reading of the models: only keys and cities are looked at again.
+    plan = with_watch._jdf.queryExecution().executedPlan().toString()
+    assert "l_quantity" not in plan and "avg_temperature_c" not in plan
+
+
+def test_watch_of_an_empty_frame(spark, path):
+    watch, cities = Watch(), scan.read_cities(spark)
+    watch.over("raw_weather", spark.createDataFrame([], "city_id string, observation_ts timestamp")).write.parquet(path("none"))
+    lines = check_models({}, cities, watch).collect()
+    assert [(r["column"], r.failures) for r in lines] == [("city_id", 0), ("observation_ts", 0)]

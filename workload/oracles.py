@@ -272,12 +272,47 @@ CTES |= {
     ),
     "event_weather": (
         [],
-        """SELECT lpad(cast(user_id % 5 AS varchar), 3, '0') AS city_id,
-        concat('City ', user_id % 5) AS city_name, value AS temperature_2m,
-        ts AS observation_ts, ts AS ingested_at FROM events""",
+        "SELECT lpad(cast(user_id % 5 AS varchar), 3, '0') AS city_id,"
+        " concat('City ', user_id % 5) AS city_name, cast(user_id % 5 AS double) AS latitude,"
+        " cast(user_id % 5 AS double) AS longitude, cast(user_id % 5 AS bigint) AS elevation_m,"
+        + ", ".join(
+            f"{'value' if m == 'temperature_2m' else 'cast(event_id % 100 AS double)'} AS {m}" for m in _MEASURES
+        )
+        + ", ts AS observation_ts, ts AS ingested_at, year(ts) AS year, month(ts) AS month,"
+        " day(ts) AS day FROM events",
     ),
 }
 
+# Live events beside the pulled feeds, and hours merged measure by measure.
+_LIVE = {"pressure_msl_hpa": "pressure_hpa"} | {
+    m: m for m in _MEASURES.values() if m in roles.LIVE_EXPR
+}
+_MERGED = [*_MEASURES.values(), "city_name", "latitude", "longitude", "elevation_m", "source_kind"]
+CTES |= {
+    "live": (
+        [],
+        f"""SELECT {_list(roles.LIVE_EXPR)},
+        l_shipdate + to_hours(cast({roles.LIVE_HOUR} AS int)) + to_minutes(cast({roles.LIVE_MINUTE} AS int)) AS happened_at,
+        l_shipdate + to_days(cast(l_partkey % 3 AS int)) + to_hours(1) AS consumed_at
+        FROM lineitem WHERE {roles.LIVE}""",
+    ),
+    "staged_live": (
+        ["staged", "live"],
+        "SELECT * FROM staged UNION ALL SELECT city_id, city_name, NULL, NULL, NULL, happened_at, "
+        + ", ".join(_LIVE.get(m, "NULL") for m in _MEASURES.values())
+        + ", 'streaming', consumed_at FROM live",
+    ),
+    "merged": (
+        ["staged_live"],
+        "SELECT city_id, date_trunc('hour', observation_ts) AS observation_ts, "
+        + ", ".join(f"arg_max({c}, (rank, ingested_at, {c})) FILTER ({c} IS NOT NULL) AS {c}" for c in _MERGED)
+        + ", max(ingested_at) AS ingested_at FROM (SELECT *,"
+        " CASE source_kind WHEN 'streaming' THEN 0 ELSE 1 END AS rank FROM staged_live) GROUP BY 1, 2",
+    ),
+    "daily_live": (["merged"], CTES["daily"][1].replace("FROM latest", "FROM merged")),
+    "fct_weather_live": (["daily_live", "dim"], CTES["fct_weather"][1].replace("FROM daily d", "FROM daily_live d")),
+}
+
 _PLACE = ["city_id", "city_name", "latitude", "longitude", "elevation_m"]
 _DOUBLES_WEATHER = [
     "avg_temperature_c", "min_temperature_c", "max_temperature_c", "avg_apparent_temperature_c",
@@ -455,8 +490,20 @@ def _oracles() -> dict[str, str]:
         "city_id, city_name, department, latitude:num, longitude:num, elevation_m, population,"
         " timezone, climate_zone, population_tier"
     )
+    raw = (
+        "city_id, city_name, latitude:num, longitude:num, elevation_m, "
+        + ", ".join(f"{m}:num" for m in _MEASURES)
+        + ", observation_ts:ts, ingested_at:ts, year, month"
+    )
+    absent = ", ".join(
+        f"cast(NULL AS double) AS {m}" for m in _MEASURES if m not in ("temperature_2m", "wind_speed_10m")
+    )
     city = "concat('C', l_suppkey % 27)"
     event_city = "CASE WHEN event_id % 31 <> 0 THEN lpad(cast(user_id % 5 AS varchar), 3, '0') END"
+    silent = (
+        "latitude longitude apparent_temperature_c relative_humidity_pct precipitation_mm wind_speed_kmh"
+        " wind_direction_deg wind_gusts_kmh pressure_hpa cloud_cover_pct"
+    ).split()
     # One line of the stream as the JSON writer leaves it: NULL fields are absent.
     event_line = f"""concat('{{"event_id":"', event_id, '"',
         coalesce(',"city_id":"' || {event_city} || '"', ''),
@@ -464,19 +511,9 @@ def _oracles() -> dict[str, str]:
     return {
         "dedupe_latest": _sql(_STAGED, "latest", ["latest"]),
         "union_sources": _sql(_STAGED, "staged", ["staged"]),
-        "union_stream": _sql(
-            "source_kind, city_id, hours, total_precipitation_mm:num, max_temperature_c:num,"
-            " last_observation_ts:ts",
-            """(SELECT source_kind, city_id, count(*) AS hours,
-              sum(precipitation_mm) AS total_precipitation_mm,
-              max(temperature_c) AS max_temperature_c, max(observation_ts) AS last_observation_ts
-              FROM (SELECT source_kind, city_id, precipitation_mm, temperature_c, observation_ts
-                FROM staged UNION ALL
-                SELECT 'streaming', city_id, NULL, temperature_2m,
-                  date_trunc('minute', observation_ts) FROM event_weather)
-              GROUP BY ALL)""",
-            ["staged", "event_weather"],
-        ),
+        "union_stream": _sql(_STAGED, "staged_live", ["staged_live"]),
+        "merge_hours": _sql(_STAGED, "merged", ["merged"]),
+        "fct_weather_stream": _sql(_FCT_WEATHER, "fct_weather_live", ["fct_weather_live"]),
         "unit_normalise": _sql(
             f"{_STAGED_AIR}, ingested_at:ts, normalised_units",
             f"(SELECT *, {_UNIT} AS normalised_units FROM staged_air)",
@@ -575,17 +612,19 @@ def _oracles() -> dict[str, str]:
             _STAGED, "staged", ["staged"],
             "WHERE relative_humidity_pct < 0 OR relative_humidity_pct > 100",
         ),
-        "scan_external": _sql(
-            "city_id, temperature_2m:num, observation_ts:ts, year, month, day",
-            "(SELECT *, year(observation_ts) AS year, month(observation_ts) AS month,"
-            " day(observation_ts) AS day FROM event_weather)",
-            ["event_weather"],
-        ),
+        "scan_external": _sql(f"{raw}, day", "event_weather", ["event_weather"]),
         "seed_csv": _sql(dim, f"({_dim('supplier_cities')})", ["supplier_cities"]),
-        "climate_job": _sql(rolled, "rolled", ["rolled"]),
+        "climate_job": " UNION ALL BY NAME ".join(
+            f"SELECT '{name}' AS result, * FROM ({sql})" for name, sql in (
+                ("monthly_normals", _sql(normals, "normals", ["normals"])),
+                ("rolling_30d", _sql(rolled, "rolled", ["rolled"])),
+                ("heat_waves", _sql(_HEAT, "heat", ["heat"])),
+            )
+        ),
         "hourly_payload": f"""SELECT {city} AS city_id, n_name AS city_name,
+            cast(n_nationkey AS double) AS latitude, cast(-60 - n_nationkey AS double) AS longitude,
             cast(n_nationkey * 150 AS bigint) AS elevation_m,
-            round(l_extendedprice / 2797 + h, 6) AS temperature_2m, cast(NULL AS double) AS rain,
+            round(l_extendedprice / 2797 + h, 6) AS temperature_2m, {absent},
             CASE h WHEN 0 THEN l_quantity WHEN 1 THEN l_quantity + 1 END AS wind_speed_10m,
             CASE WHEN h < 2 OR l_orderkey % 11 <> 0
               THEN strftime(l_shipdate + to_hours(cast(h AS int)), '%Y-%m-%d %H:%M:%S') END AS observation_ts,
@@ -626,20 +665,8 @@ def _oracles() -> dict[str, str]:
             "(SELECT *, cast(observation_ts AS date) AS observation_date FROM raw_weather)",
             ["raw_weather"], "WHERE observation_date = DATE '1998-06-08'",
         ),
-        "scan_nanos": _sql(
-            "city_id, city_name, temperature_2m:num, observation_ts:ts, ingested_at:ts,"
-            " year, month",
-            "(SELECT *, year(observation_ts) AS year, month(observation_ts) AS month"
-            " FROM event_weather)",
-            ["event_weather"],
-        ),
-        "scan_days": _sql(
-            "city_id, year, month, day, hours, max_temperature:num",
-            """(SELECT city_id, year(observation_ts) AS year, month(observation_ts) AS month,
-              day(observation_ts) AS day, count(*) AS hours, max(temperature_2m) AS max_temperature
-              FROM event_weather WHERE day(observation_ts) > 15 GROUP BY ALL)""",
-            ["event_weather"],
-        ),
+        "scan_nanos": _sql(raw, "event_weather", ["event_weather"]),
+        "scan_days": _sql(f"{raw}, day", "event_weather", ["event_weather"]),
         "sink_dynamic_overwrite": """SELECT event_id, event_type,
             round(value + CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END, 6) AS value,
             strftime(ts, '%Y-%m-%d') AS day FROM events""",
@@ -652,10 +679,11 @@ def _oracles() -> dict[str, str]:
             "WHERE observation_date BETWEEN DATE '1997-03-10' AND DATE '1998-02-20'"
             " AND city_id IN ('C1', 'C7', 'C26')",
         ),
-        "stream_sink": """SELECT cast(event_id AS varchar) AS event_id,
+        "stream_sink": f"""SELECT cast(event_id AS varchar) AS event_id,
             lpad(cast(user_id % 5 AS varchar), 3, '0') AS city_id,
             strftime(ts, '%Y-%m-%dT%H:%M') AS observed_ts, value AS temperature_c,
-            event_type AS sensor_kind
+            event_type AS sensor_kind, NULL AS event_ts_utc, NULL AS city_name,
+            {", ".join(f"cast(NULL AS double) AS {c}" for c in silent)}
             FROM events WHERE event_id % 31 <> 0 AND event_id % 37 <> 0 AND event_id % 41 <> 0""",
         # A cut line is kept in full; a whole line without a city keeps all its fields.
         # A line with a value that cannot be read names its city, which is its key.
@@ -671,3 +699,26 @@ def _oracles() -> dict[str, str]:
 
 
 ORACLES = _oracles()
+ORACLES |= {
+    "stream_routed": f"{ORACLES['stream_sink']} UNION ALL BY NAME {ORACLES['stream_dead_letters']}",
+    "stream_order": f"SELECT city_id, count(*) AS events, cast(0 AS bigint) AS inversions FROM ({ORACLES['stream_sink']}) GROUP BY 1",
+    "scan_stream_table": ORACLES["stream_sink"],
+    "scan_mixed": ORACLES["scan_nanos"],
+    "stress_bucketed": ORACLES["stress_score"],
+    "refresh_facts": " UNION ALL BY NAME ".join(
+        f"SELECT * FROM ({ORACLES[name]})" for name in ("fct_weather", "fct_air", "stress_score")
+    ),
+    "mart_by_quarter": _sql(_FCT_AIR, "fct_air", ["fct_air"], "WHERE observation_quarter = 2"),
+    "mart_by_zone": _sql(_FCT_AIR, "fct_air", ["fct_air"], "WHERE climate_zone = 'tierra_fria'"),
+    "landing_rejects": """SELECT l_orderkey, cast(l_linenumber AS bigint) AS l_linenumber,
+        concat('C', l_suppkey % 27) AS city_id,
+        CASE WHEN l_orderkey % 17 = 0 THEN 'not JSON' WHEN l_orderkey % 19 = 0 THEN 'empty'
+          WHEN l_orderkey % 23 = 0 THEN 'hourly.time is no array'
+          WHEN l_orderkey % 29 = 0 THEN 'no hourly.time' WHEN l_orderkey % 31 = 0 THEN 'empty'
+          WHEN l_orderkey % 13 = 0 THEN 'no hourly.time' END AS reason
+        FROM lineitem""",
+    "namespace_tables": _sql(
+        "city_id, city_name, department, latitude:num, longitude:num, elevation_m, population,"
+        " timezone, climate_zone, population_tier", "dim", ["dim"],
+    ),
+}

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolith import fixed, schemas
 from aerolith.functions import columns as C
-from aerolith.operators import climate, daily as D, percentile, quality
-from aerolith.plans import batch, reports, warehouse as W
+from aerolith.operators import climate, daily as D, merge, percentile, quality
+from aerolith.plans import batch, incremental, reports, warehouse as W
+from aerolith.plans.checks import Watch
 from aerolith.session import scratch_path
 from aerolith.sources import payloads, scan, sinks
 from aerolith.streaming import sink as stream
@@ -69,22 +72,13 @@ def corr_rain(spark, d):
 
 
 def union_stream(spark, d):
-    """Third branch of the union: landed stream events beside the two feeds."""
-    events = roles.table(spark, d, "events").select(
-        F.expr(roles.EVENT_CITY).alias("city_id"),
-        F.concat(F.lit("City "), F.col("user_id") % 5).alias("city_name"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("observed_ts"),
-        F.col("value").alias("temperature_c"),
-        F.lit(None).cast("double").alias("pressure_hpa"),
-        F.col("ts").cast("timestamp").alias("consumed_at"),
-    )
-    staged = W.stage_weather(*roles.weather_feeds(spark, d), events)
-    return staged.groupBy("source_kind", "city_id").agg(
-        F.count(F.lit(1)).alias("hours"),
-        F.sum("precipitation_mm").alias("total_precipitation_mm"),
-        F.max("temperature_c").alias("max_temperature_c"),
-        F.max("observation_ts").cast("timestamp_ntz").alias("last_observation_ts"),
-    )
+    """All three feeds: landed stream events beside the two pulled ones."""
+    return W.stage_weather(*roles.weather_feeds(spark, d), roles.live_events(spark, d))
+
+
+def fct_weather_stream(spark, d):
+    """The weather mart with live events, merged by measure."""
+    return W.weather_mart(*roles.weather_feeds(spark, d), _dim(spark, d), roles.live_events(spark, d))
 
 
 def surrogate_key(spark, d):
@@ -127,8 +121,9 @@ def row_count(spark, d):
 def quality_report(spark, d):
     """The whole warehouse is built and stored, then every declared check runs on it."""
     feeds, air, cities = roles.weather_feeds(spark, d), roles.air(spark, d), roles.cities(spark, d)
-    marts = batch.build_warehouse(spark, *feeds, air, cities, scratch_path(spark, "marts"))
-    return batch.check_warehouse(*feeds, air, cities, marts)
+    watch = Watch()
+    marts = batch.build_warehouse(spark, *feeds, air, cities, scratch_path(spark, "marts"), watch=watch)
+    return batch.check_warehouse(*feeds, air, cities, marts, watch=watch)
 
 
 def unknown_cities(spark, d):
@@ -158,7 +153,7 @@ def humidity_out_of_range(spark, d):
 # --- JSON landing -------------------------------------------------------------------------------
 
 
-def _hourly_payloads(spark, d):
+def _hourly_payloads(spark, d, *more):
     """One document per line: three hours, without the variables the line has no data for."""
     hours = [F.date_format("l_shipdate", f"yyyy-MM-dd'T'0{h}:00") for h in range(3)]
     # Some times cannot be read.
@@ -172,6 +167,7 @@ def _hourly_payloads(spark, d):
         three.alias("wind_speed_10m"),
     )
     return roles.table(spark, d, "lineitem").select(
+        *more,
         F.expr(roles.CITY).alias("city_id"),
         F.to_json(F.struct(hourly.alias("hourly"))).alias("payload"),
         F.col("l_shipdate").alias("ingested_at"),
@@ -179,11 +175,24 @@ def _hourly_payloads(spark, d):
 
 
 def hourly_payload(spark, d):
-    rows = payloads.hourly_rows(_hourly_payloads(spark, d), roles.cities(spark, d))
-    return rows.select(
-        "city_id", "city_name", "elevation_m", "temperature_2m", "rain", "wind_speed_10m",
-        F.col("observation_ts").cast("timestamp_ntz").alias("observation_ts"), "ingested_at",
+    return payloads.hourly_rows(_hourly_payloads(spark, d), roles.cities(spark, d))
+
+
+def landing_rejects(spark, d):
+    """Hourly documents that are damaged in one way or another, told apart; every line is in one part."""
+    lines = _hourly_payloads(spark, d, "l_orderkey", "l_linenumber")
+    n = F.col("l_orderkey")
+    damaged = (
+        F.when(n % 17 == 0, F.substring("payload", 1, 20))
+        .when(n % 19 == 0, F.lit(" "))
+        .when(n % 23 == 0, F.lit('{"hourly": {"time": "2024-03-05T07:00"}}'))
+        .when(n % 29 == 0, F.lit("[1, 2]"))
+        .when(n % 31 == 0, F.lit(None))
+        .otherwise(F.col("payload"))
     )
+    good, bad = payloads.told_apart(lines.withColumn("payload", damaged), "hourly.time")
+    both = good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad)
+    return both.select("l_orderkey", "l_linenumber", "city_id", "reason")
 
 
 def _station_payloads(spark, d):
@@ -274,22 +283,29 @@ def scan_nanos(spark, d):
     at = C.nanos_to_timestamp("observation_ts")
     parted = raw.withColumns({"year": F.year(at), "month": F.month(at)})
     sinks.write_parquet(parted, path, schemas.CITY_MONTH_PATH.names, ["observation_ts"])
-    return scan.read_weather(spark, path).select(
-        "city_id", "city_name", "temperature_2m", "observation_ts", "ingested_at", "year", "month"
-    )
+    return scan.read_weather(spark, path)
+
+
+def scan_mixed(spark, d):
+    """One folder with files of nanoseconds and others of microseconds, read as timestamps."""
+    path = scratch_path(spark, "weather-mixed")
+    raw = roles.event_weather(spark, d)
+    at = C.nanos_to_timestamp("observation_ts")
+    parted = raw.withColumns({"year": F.year(at), "month": F.month(at)})
+    for rest, write in ((0, lambda df: df), (1, scan.convert_nanos), (2, lambda df: df)):
+        part = write(parted.filter(F.pmod("elevation_m", F.lit(3)) == rest))
+        part.write.mode("append").partitionBy(*schemas.CITY_MONTH_PATH.names).parquet(path)
+    return scan.read_weather(spark, path)
 
 
 def scan_days(spark, d):
-    """The daily layout with an explicit schema; the day filter prunes folders."""
+    """The daily layout with an explicit schema."""
     path = scratch_path(spark, "weather-daily")
     raw = scan.convert_nanos(roles.event_weather(spark, d))
     at = F.col("observation_ts")
     parted = raw.withColumns({"year": F.year(at), "month": F.month(at), "day": F.day(at)})
     sinks.write_parquet(parted, path, schemas.DAY_PATH.names, ["city_id"])
-    days = scan.read_partitioned(spark, path, schemas.weather_raw(), schemas.DAY_PATH)
-    return days.filter("day > 15").groupBy("city_id", "year", "month", "day").agg(
-        F.count(F.lit(1)).alias("hours"), F.max("temperature_2m").alias("max_temperature")
-    )
+    return scan.read_partitioned(spark, path, schemas.weather_raw(), schemas.DAY_PATH)
 
 
 def scan_external(spark, d):
@@ -300,8 +316,7 @@ def scan_external(spark, d):
     parted = raw.withColumns({"year": F.year(at), "month": F.month(at), "day": F.day(at)})
     sinks.write_parquet(parted, path, schemas.DAY_PATH.names, ["city_id"])
     name = "aerolith_" + path.rsplit("-", 1)[1]
-    table = scan.register_external(spark, name, path, schemas.weather_raw(), schemas.DAY_PATH)
-    return table.select("city_id", "temperature_2m", "observation_ts", "year", "month", "day")
+    return scan.register_external(spark, name, path, schemas.weather_raw(), schemas.DAY_PATH)
 
 
 def seed_csv(spark, d):
@@ -312,10 +327,14 @@ def seed_csv(spark, d):
 
 
 def climate_job(spark, d):
-    """The batch job end to end: its stored rolling figures, read back."""
+    """The batch job end to end: its three stored results, read back below each other."""
     out = scratch_path(spark, "climate")
     batch.climate_job(spark, roles.weather(spark, d), out)
-    return spark.read.parquet(f"{out}/rolling_30d")
+    results = [
+        spark.read.parquet(f"{out}/{name}").withColumn("result", F.lit(name))
+        for name in ("monthly_normals", "rolling_30d", "heat_waves")
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
 
 
 def _event_days(spark, d):
@@ -367,6 +386,53 @@ def mart_slice(spark, d):
     return reports.dashboard_slice(stored, "1997-03-10", "1998-02-20", ["C1", "C7", "C26"])
 
 
+def mart_by_quarter(spark, d):
+    """The same mart by an attribute of the month: other months' folders are not read."""
+    path = scratch_path(spark, "fct_air")
+    sinks.write_mart(_fct_air(spark, d), path, ["city_id", "parameter_name"])
+    months = scratch_path(spark, "calendar")
+    reports.calendar(spark, "1990-01-01", "2009-12-31").write.parquet(months)
+    second = spark.read.parquet(months).filter("quarter = 2")
+    return reports.slice_by_months(spark.read.parquet(path), second)
+
+
+def mart_by_zone(spark, d):
+    """The same mart by an attribute of the city."""
+    path = scratch_path(spark, "fct_air")
+    sinks.write_mart(_fct_air(spark, d), path, ["city_id", "parameter_name"])
+    return reports.slice_by_cities(spark.read.parquet(path), _dim(spark, d).filter("climate_zone = 'tierra_fria'"))
+
+
+def _refreshed(spark, d):
+    """The warehouse as built before the last landing, then brought up to date with it."""
+    feeds, air, cities = roles.weather_feeds(spark, d), roles.air(spark, d), roles.cities(spark, d)
+    late = "observation_ts >= '2001-06-01'"
+    late_air = "observation_date >= '2001-06-01'"
+    before = [df.filter(f"NOT {late}") for df in feeds]
+    out = scratch_path(spark, "warehouse")
+    batch.build_warehouse(spark, *before, air.filter(f"NOT {late_air}"), cities, out)
+    landed = feeds[0].unionByName(feeds[1]).filter(late)
+    incremental.refresh_warehouse(spark, *feeds, air, out, landed, air.filter(late_air))
+    return out
+
+
+def refresh_facts(spark, d):
+    """All three facts after an incremental refresh, beside each other."""
+    out = _refreshed(spark, d)
+    facts = [spark.read.parquet(f"{out}/{name}") for name in ("fct_weather_daily", "fct_air_quality_daily", "fct_environmental_stress")]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), facts)
+
+
+def stress_bucketed(spark, d):
+    """Both facts as tables bucketed by city and day: the stress mart then needs no exchange."""
+    path = scratch_path(spark, "bucketed")
+    name = "aerolith_" + path.rsplit("-", 1)[1]
+    sinks.ensure_namespace(spark, name, path)
+    sinks.write_bucketed(_fct_weather(spark, d), f"{name}.fct_weather", D.CITY_DAY, 8)
+    sinks.write_bucketed(_fct_air(spark, d), f"{name}.fct_air", D.CITY_DAY, 8)
+    return W.fct_stress(spark.table(f"{name}.fct_weather"), spark.table(f"{name}.fct_air"))
+
+
 # --- streaming ----------------------------------------------------------------------------------
 
 
@@ -397,9 +463,7 @@ def _drain(spark, d, start):
 def stream_sink(spark, d):
     out = _drain(spark, d, stream.start_sink)
     landed = scan.with_partitions(schemas.STREAM_EVENT, schemas.DAY_PATH)
-    return spark.read.schema(landed).parquet(out).select(
-        "event_id", "city_id", "observed_ts", "temperature_c", "sensor_kind"
-    )
+    return spark.read.schema(landed).parquet(out).select(schemas.STREAM_EVENT.names)
 
 
 def stream_dead_letters(spark, d):
@@ -407,10 +471,49 @@ def stream_dead_letters(spark, d):
     return spark.read.schema("key string, value string").parquet(out).select("key", "value")
 
 
+def _routed(spark, d):
+    """Events and dead letters of one query over the source, a file at a time."""
+    paths = [scratch_path(spark, name) for name in ("stream-out", "stream-dead", "stream-progress")]
+    stream.start_router(_event_stream(spark, d), *paths, {"availableNow": True}).awaitTermination()
+    return paths[:2]
+
+
+def stream_routed(spark, d):
+    out, dead = _routed(spark, d)
+    landed = scan.with_partitions(schemas.STREAM_EVENT, schemas.DAY_PATH)
+    events = spark.read.schema(landed).parquet(out).select(schemas.STREAM_EVENT.names)
+    rejected = spark.read.schema("key string, value string").parquet(dead).select("key", "value")
+    return events.unionByName(rejected, allowMissingColumns=True)
+
+
+def stream_order(spark, d):
+    """No event stands behind a later one of its city."""
+    return stream.order_inversions(spark, _routed(spark, d)[0])
+
+
+def scan_stream_table(spark, d):
+    """The landed stream as a table of the catalog."""
+    out = _drain(spark, d, stream.start_sink)
+    name = "aerolith_" + out.rsplit("-", 1)[1]
+    return scan.register_stream(spark, name, out).select(schemas.STREAM_EVENT.names)
+
+
+def namespace_tables(spark, d):
+    """A namespace of its own, made twice, with the city dimension as a table in it."""
+    path = scratch_path(spark, "namespace")
+    name = "aerolith_" + path.rsplit("-", 1)[1]
+    for _ in range(2):
+        sinks.ensure_namespace(spark, name, path)
+    sinks.write_table(_dim(spark, d), f"{name}.dim_cities")
+    return spark.table(f"{name}.dim_cities")
+
+
 QUERIES = {
     "dedupe_latest": lambda s, d: D.weather_latest(_staged(s, d)),
     "union_sources": _staged,
     "union_stream": union_stream,
+    "merge_hours": lambda s, d: merge.merge_hours(union_stream(s, d)),
+    "fct_weather_stream": fct_weather_stream,
     "unit_normalise": unit_normalise,
     "surrogate_key": surrogate_key,
     "daily_rollup": lambda s, d: D.weather_daily_latest(_staged(s, d)),
@@ -456,8 +559,18 @@ QUERIES = {
     "sink_land_rerun": sink_land_rerun,
     "sink_table_append": sink_table_append,
     "mart_slice": mart_slice,
+    "mart_by_quarter": mart_by_quarter,
+    "mart_by_zone": mart_by_zone,
+    "refresh_facts": refresh_facts,
+    "stress_bucketed": stress_bucketed,
+    "scan_mixed": scan_mixed,
+    "landing_rejects": landing_rejects,
     "stream_sink": stream_sink,
     "stream_dead_letters": stream_dead_letters,
+    "stream_routed": stream_routed,
+    "stream_order": stream_order,
+    "scan_stream_table": scan_stream_table,
+    "namespace_tables": namespace_tables,
 }
 
 

@@ -109,6 +109,37 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _weather(table(spark, sf_dir, "lineitem"))
 
 
+# Live events: at minutes of hours that the pulled feeds have, of hours that they lack, and without
+# the measures that live sensors do not send. Some name a measure that the pulled feeds have NULL.
+LIVE = "l_linenumber <= 2"
+LIVE_HOUR = "(l_orderkey + l_linenumber) % 6 * 4 + l_linenumber - 1"
+LIVE_MINUTE = "l_partkey % 60"
+LIVE_EXPR = {
+    "event_id": "concat(l_orderkey, '-', l_linenumber)",
+    "city_id": CITY,
+    "city_name": CITY_NAME,
+    "temperature_c": "case when l_partkey % 13 = 0 then null else l_quantity end",
+    "apparent_temperature_c": "l_quantity + 2",
+    "relative_humidity_pct": "case when l_partkey % 5 = 0 then null else l_quantity + 10 end",
+    "precipitation_mm": "round(l_tax * 50)",
+    "wind_speed_kmh": "l_quantity / 2",
+    "wind_direction_deg": "cast(l_suppkey % 360 as double)",
+    "wind_gusts_kmh": "l_quantity",
+    "pressure_hpa": "1000 + l_quantity / 2",
+    "cloud_cover_pct": "round(l_discount * 500)",
+}
+
+
+def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed stream events, in the sink's layout."""
+    lines = table(spark, sf_dir, "lineitem").filter(LIVE)
+    at = F.expr(f"l_shipdate + make_dt_interval(0, cast({LIVE_HOUR} as int), cast({LIVE_MINUTE} as int))")
+    return _select(
+        lines, LIVE_EXPR, F.date_format(at, "yyyy-MM-dd'T'HH:mm").alias("observed_ts"),
+        F.expr("l_shipdate + make_dt_interval(cast(l_partkey % 3 as int), 1)").alias("consumed_at"),
+    )
+
+
 def weather_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Backfill and daily pull: the two line states."""
     lines = table(spark, sf_dir, "lineitem")
