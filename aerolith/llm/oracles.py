@@ -77,15 +77,15 @@ GROUP BY ALL
 URLS = r"""
 WITH captures AS (
   SELECT page_id, DATE '2024-01-01' + CAST(((page_id % 730) + 730) % 730 AS INTEGER) AS fetch_date,
-    nullif(rtrim(lower(regexp_extract(url,
+    nullif(rtrim(lower(regexp_extract(
+      replace(regexp_replace(url, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g'), chr(92), '/'),
       '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '.'), '') AS host
   FROM pages
 ), hosts AS (
   SELECT DISTINCT host, string_split(host, '.') AS labels FROM captures WHERE host IS NOT NULL
 ), keyed AS (
-  SELECT host, unnest(CASE WHEN length(host) <= 253
-    THEN [array_to_string(labels[i:], '.') FOR i IN range(1, greatest(len(labels), 2))]
-    ELSE [host] END) AS key
+  SELECT host, unnest([array_to_string(labels[i:], '.')
+    FOR i IN range(greatest(len(labels) - 9, 1), greatest(len(labels), 2))]) AS key
   FROM hosts
 ), digits AS (
   SELECT key, [CAST('0x' || d AS INTEGER) FOR d IN string_split(md5(key), '')] AS x

@@ -11,6 +11,7 @@ from aerolith.llm.common import table
 from aerolith.llm.vectors import whole_vectors
 
 TOKENIZER = "word_bpe_49k.json"
+LISTED_LABELS = 10
 
 
 def tokenizer_path() -> str:
@@ -51,10 +52,10 @@ def dated_entries(pages: DataFrame) -> DataFrame:
     """Lists made from the pages' own hosts and their parents, as the tables hold none.
 
     The digits of a key's MD5 decide whether it is listed, where, and when it comes, goes and comes
-    back, so the lists grow with the hosts.
+    back, so the lists grow with the hosts. No listed name has more than `LISTED_LABELS` labels.
     """
     hosts = pages.select(urls.host_of(F.col("url")).alias("host")).distinct()
-    keys = hosts.filter("host IS NOT NULL").select(F.explode(urls.keys_of(F.col("host"))).alias("key"))
+    keys = hosts.filter("host IS NOT NULL").select(F.explode(urls.keys_of(F.col("host"), LISTED_LABELS)).alias("key"))
     digits = lambda at, n: F.conv(F.substring("md5", at, n), 16, 10).cast("int")
     listed = keys.distinct().withColumn("md5", F.md5("key")).filter(digits(1, 1) < 8)
     first = digits(2, 3) % 600

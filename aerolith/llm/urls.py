@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aerolith.session import stored
 
-MAX_HOST = 253  # longer names are no host names: they match as they are, without parents
 ADD, REMOVE = "add", "remove"
 HOST, DOMAIN = "host", "domain"
 
@@ -25,19 +24,26 @@ _AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host without port, user or closing dot; null if there is none."""
-    host = F.rtrim(F.lower(F.regexp_extract(url, _AUTHORITY, 1)), F.lit("."))
+    """Lower-case host without port, user or closing dot; null if there is none.
+
+    Read as browsers do: white space and control characters around the URL go, and a backslash is a
+    slash. A URL without a scheme has no host.
+    """
+    plain = F.translate(F.regexp_replace(url, r"^[\x00-\x20]+|[\x00-\x20]+$", ""), "\\", "/")
+    host = F.rtrim(F.lower(F.regexp_extract(plain, _AUTHORITY, 1)), F.lit("."))
     return F.nullif(host, F.lit(""))
 
 
-def keys_of(host: Column) -> Column:
-    """The host and its parent domains, the top level left out unless it is the host."""
+def keys_of(host: Column, most_labels: int) -> Column:
+    """The host and its parent domains of at most `most_labels` labels, the top level left out unless
+    it is the host. Lists have no longer keys, so a host of very many labels has no more parents."""
     labels = F.split(host, r"\.")
+    n = F.size(labels)
     parents = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
-        lambda at: F.array_join(F.slice(labels, at, F.size(labels)), "."),
+        F.sequence(F.greatest(n - (max(most_labels, 2) - 1), F.lit(1)), F.greatest(n - 1, F.lit(1))),
+        lambda at: F.array_join(F.slice(labels, at, n), "."),
     )
-    return F.when(F.length(host) <= MAX_HOST, parents).otherwise(F.array(host))
+    return parents
 
 
 def validity_intervals(entries: DataFrame) -> DataFrame:
@@ -93,8 +99,9 @@ def filter_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     visits = rows.filter("host IS NOT NULL AND fetch_date IS NOT NULL").select(
         "host", F.col("fetch_date").alias("day")
     ).distinct()
-    keyed = visits.select("host", "day", F.explode(keys_of(F.col("host"))).alias("key"))
     intervals = stored(validity_intervals(entries), "url-intervals")
+    most = intervals.agg(F.max(F.size(F.split("key", r"\."))).alias("n")).first()["n"] or 0
+    keyed = visits.select("host", "day", F.explode(keys_of(F.col("host"), most)).alias("key"))
     active = active_at(keyed.select("key", "day").distinct(), intervals)
     covers = (F.col("scope") == DOMAIN) | (F.col("key") == F.col("host"))
     best = F.min(
