@@ -36,6 +36,7 @@ LEAST_PAYLOAD = 0
 BLOCK_ENTRIES = 512
 FILE_BYTES = 512 << 20
 READ_BYTES = 8 << 20
+STRETCH_BYTES = 16 << 20  # of an archive, read by one task
 _NO_ID = -(2**63)
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 _URL = re.compile(r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*)(?::\d+)?([^#]*)")
@@ -52,9 +53,15 @@ def surt(url: str | None) -> str:
 
 
 def _file_system(path: str):
+    """Arrow's file system for a folder as Spark names it: local files, S3 and, where their native
+    libraries are installed, HDFS and Google Cloud Storage."""
     from pyarrow.fs import FileSystem
 
-    return FileSystem.from_uri(path)
+    scheme, colon, rest = path.partition(":")
+    return FileSystem.from_uri(_SCHEMES.get(scheme, scheme) + colon + rest)
+
+
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}  # Spark's names to Arrow's
 
 
 class _Reader:
@@ -291,12 +298,19 @@ def look_up(keys: DataFrame, shards: list[tuple]) -> DataFrame:
     if not shards:
         return keys.sparkSession.createDataFrame([], ENTRY)
     routed = keys.select("surt", "id").distinct().mapInArrow(route, "surt string, id long, shard int")
-    dealt = routed.repartition("shard").sortWithinPartitions("shard", "surt", "id")
+    # Without a number, adaptive execution would go by the bytes of the keys and read all in one task.
+    dealt = routed.repartition(len(shards), "shard").sortWithinPartitions("shard", "surt", "id")
     return dealt.mapInArrow(find, ENTRY)
 
 
-def read_records(entries: DataFrame, with_payload: bool = False, read_bytes: int = READ_BYTES) -> DataFrame:
-    """The records at the entries' places, read in order of file and place, near ones together."""
+def read_records(
+    entries: DataFrame, with_payload: bool = False, read_bytes: int = READ_BYTES, stretches: int | None = None
+) -> DataFrame:
+    """The records at the entries' places, read in order of file and place, near ones together.
+
+    `stretches` is the number of tasks; it should follow the bytes to be read, which the places
+    alone do not show.
+    """
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     schema += ", payload binary" if with_payload else ""
     names = [c.split()[0] for c in schema.split(", ")]
@@ -319,8 +333,9 @@ def read_records(entries: DataFrame, with_payload: bool = False, read_bytes: int
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
     places = entries.select("file", "offset", "length")
-    stretch = F.floor(F.col("offset") / (64 << 20))
-    dealt = places.repartition("file", stretch).sortWithinPartitions("file", "offset")
+    by = ["file", F.floor(F.col("offset") / STRETCH_BYTES)]
+    dealt = places.repartition(stretches, *by) if stretches else places.repartition(*by)
+    dealt = dealt.sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(fetch, schema)
 
 
@@ -349,4 +364,6 @@ def archive_and_read(pages: DataFrame, least_payload: int = LEAST_PAYLOAD, shard
     folder = scratch_path(pages.sparkSession, "warc")
     entries = write_archives(pages, f"{folder}/archives", least_payload)
     index = build_index(entries, f"{folder}/index", shards)
-    return read_records(look_up(page_keys(pages), index), with_payload)
+    archived = entries.agg(F.sum("length")).first()[0] or 0
+    found = look_up(page_keys(pages), index)
+    return read_records(found, with_payload, stretches=max(1, -(-archived // STRETCH_BYTES)))
