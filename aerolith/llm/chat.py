@@ -98,38 +98,29 @@ def render(messages: DataFrame, chosen: DataFrame, turns_per_row: int = TURNS_PE
     """The chosen conversations as text, in rows of up to `turns_per_row` messages: conv_id, segment,
     n_messages, n_copies and text. Null roles and texts are empty.
 
-    Most conversations are one row, segment 0; a longer one goes on in further rows, by turn numbers.
-    Where more than `turns_per_row` messages share such a run of turn numbers, the conversation's
-    segments are cut by the running count of its messages instead, so no row holds more than that.
+    Segments go by the running count of a conversation's messages, in order of turn, role and text:
+    most conversations are one row, segment 0, and no row holds more than `turns_per_row` messages,
+    however many share a turn.
     """
     spoken = messages.select(
         F.col("conv_id").alias("_conv"), "turn",
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
     same = F.col("_conv").eqNullSafe(F.col("conv_id"))
-    # Only conversations of so many messages can have crowded segments. Their messages, all of them
-    # different, are range-sorted; the ranges are the buckets of the running count.
+    short = chosen.filter(F.col("n_messages") <= turns_per_row)
     long = chosen.filter(F.col("n_messages") > turns_per_row)
+    # Messages of long conversations, all of them different, are range-sorted; the ranges are the
+    # buckets of the running count.
     order = ["turn", "role", "text"]
     sorted_ = stored(
         spoken.join(long, same, "left_semi").distinct().repartitionByRange("_conv", *order)
         .withColumn("_bucket", F.spark_partition_id()),
         "chat-long",
     )
-    sizes = sorted_.groupBy("_conv", _segment(F.col("turn"), turns_per_row).alias("segment")).count()
-    crowded = stored(
-        sizes.filter(F.col("count") > turns_per_row).select(F.col("_conv").alias("conv_id")).distinct(),
-        "chat-crowded",
-    )
-    calm = stored(chosen.join(
-        crowded.withColumnRenamed("conv_id", "_c"), F.col("conv_id").eqNullSafe(F.col("_c")), "left_anti"
-    ), "chat-calm")
-    numbered = running_total(
-        sorted_.join(crowded, same, "left_semi"), "_conv", "_bucket", order, F.lit(1), "_before"
-    )
+    numbered = running_total(sorted_, "_conv", "_bucket", order, F.lit(1), "_before")
     message = F.struct(*order).alias("_m")
-    kept = spoken.join(calm, same, "left_semi").select(
-        "_conv", message, _segment(F.col("turn"), turns_per_row).alias("segment")
+    kept = spoken.join(short, same, "left_semi").select(
+        "_conv", message, F.lit(0).cast("long").alias("segment")
     ).unionByName(
         numbered.select("_conv", message, F.floor(F.col("_before") / turns_per_row).cast("long").alias("segment"))
     )

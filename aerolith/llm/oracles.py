@@ -67,10 +67,12 @@ WITH messages AS (
     SELECT 1 FROM prefixes p JOIN wholes w USING (conv_id)
     WHERE p.said = g.said AND w.n > g.n_messages)
 )
-SELECT c.conv_id, CAST(floor(m.turn / 1024.0) AS BIGINT) AS segment, c.n_messages, c.n_copies,
+SELECT c.conv_id, m.segment, c.n_messages, c.n_copies,
        string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), ''
                   ORDER BY turn, role, text) AS text
-FROM chosen c JOIN messages m USING (conv_id)
+FROM chosen c JOIN (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1) // 1024 AS segment
+  FROM messages) m USING (conv_id)
 GROUP BY ALL
 """
 
