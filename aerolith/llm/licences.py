@@ -10,8 +10,10 @@ before their parts; what it covers is not matched again.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -201,7 +203,6 @@ SLOTS = [
 ]
 SLOTS.append((" under ", re.compile(r"^(?:this [a-z]+ is )?(?:licensed|released|distributed) under (?:the terms of )?"), "licensed under "))
 _OPEN = [("neither the name of ", " nor the name"), ("neither the names of ", " nor the name"), ("the name of ", " may not be used"), ("the names of ", " may not be used")]
-_NAME_PIECES = 8
 
 # A sentence ends at a line break, or at . ! ? : ; before white space or the end of the text. Known
 # sentences that this cuts are put together again.
@@ -215,6 +216,27 @@ def _filled(words: str) -> str:
     return words
 
 
+def _name_ends(pieces: list) -> dict[int, int]:
+    """For each piece in which a sentence with a name begins and does not go on: the piece in which
+    it does, however many pieces the name breaks into. A name holds no second beginning, so all pieces
+    are looked through once."""
+    begun = [
+        (i, goes_on) for i, (words, _, _) in enumerate(pieces) for begins, goes_on in _OPEN
+        if f"{words} ".startswith(begins) and goes_on not in words
+    ]
+    if not begun:
+        return {}
+    starts = list(accumulate((len(words) + 1 for words, _, _ in pieces), initial=0))
+    whole = " ".join(words for words, _, _ in pieces)
+    places = {goes_on: [m.start() for m in re.finditer(re.escape(goes_on), whole)] for _, goes_on in begun}
+    last_before: dict[tuple[str, int], int] = {}
+    for i, goes_on in begun:
+        at = bisect_left(places[goes_on], starts[i])
+        if at < len(places[goes_on]):
+            last_before[goes_on, places[goes_on][at]] = i
+    return {i: bisect_left(starts, at + len(goes_on)) - 1 for (goes_on, at), i in last_before.items()}
+
+
 _gnu()
 _named()
 
@@ -249,39 +271,32 @@ class Scanner:
             if words:
                 pieces.append((words, at, end))
             at = end
-        found, i = [], 0
+        ends, found, i = _name_ends(pieces), [], 0
         while i < len(pieces):
-            words, start, end = pieces[i]
-            last = self._name_ends(pieces, i)
-            if last > i:
-                words, end = " ".join(p[0] for p in pieces[i : last + 1]), pieces[last][2]
-            best, after = self.known.get(words), last + 1
-            for whole in (words, _filled(words)):
-                best = best or self.known.get(whole)
-                j = last + 1
-                if whole in self.prefixes:
-                    while j < len(pieces) and (whole := f"{whole} {pieces[j][0]}") in self.prefixes:
-                        j += 1
-                        if whole in self.known:
-                            best, after, end = self.known[whole], j, pieces[j - 1][2]
-                if best:
-                    break
-            found.append(Sentence(best, start, end))
+            best, after = None, i + 1
+            if i in ends:
+                best, after = self._longest(pieces, i, ends[i])
+            # What a name's end turned up too far off is no part of the sentence.
+            if best is None:
+                best, after = self._longest(pieces, i, i)
+            found.append(Sentence(best, pieces[i][1], pieces[after - 1][2]))
             i = after
         return found
 
-    def _name_ends(self, pieces: list, i: int) -> int:
-        """Place of the piece in which the sentence begun at `i` goes on after a name that cut it; `i`
-        if no name did."""
-        words = pieces[i][0]
-        for begins, goes_on in _OPEN:
-            if f"{words} ".startswith(begins) and goes_on not in words:
-                whole = words
-                for j in range(i + 1, min(i + 1 + _NAME_PIECES, len(pieces))):
-                    whole = f"{whole} {pieces[j][0]}"
-                    if goes_on in whole:
-                        return j
-        return i
+    def _longest(self, pieces: list, i: int, last: int) -> tuple[str | None, int]:
+        """The longest known sentence that begins with the pieces from `i` to `last`, and the place
+        behind it; just those pieces if there is none."""
+        words = " ".join(p[0] for p in pieces[i : last + 1])
+        for whole in (words, _filled(words)):
+            best, after, j = self.known.get(whole), last + 1, last + 1
+            if whole in self.prefixes:
+                while j < len(pieces) and (whole := f"{whole} {pieces[j][0]}") in self.prefixes:
+                    j += 1
+                    if whole in self.known:
+                        best, after = self.known[whole], j
+            if best:
+                return best, after
+        return None, i + 1
 
     def scan_text(self, text: str | None) -> list[tuple[str, int, int, int, int]]:
         """(licence, rule number, sentences matched, start, end) of the matches in order; start and

@@ -32,6 +32,9 @@ NOTICE = """    {} is free software; you can redistribute it and/or modify
     (BSD + NAMES.format("Google Inc."), ["BSD-3-Clause"]),
     (BSD + NAMES.format("the University of California, Berkeley"), ["BSD-3-Clause"]),
     (BSD + NAMES.format("the copyright holder"), ["BSD-3-Clause"]),
+    (BSD + NAMES.format("A. B. C. D. E. F. G. H. I. J. K. Lab of the U. of X; a.k.a. L. M. N. O."), ["BSD-3-Clause"]),
+    (BSD + NAMES.format("the copyright holder") + "\nNeither the name of it.\n" * 3000, ["BSD-3-Clause"]),
+    ("Neither the name of that. " + BSD + "nor the names of anybody.", ["BSD-2-Clause"]),
     (BSD, ["BSD-2-Clause"]),
     (NOTICE.format("This program", "General", "2", "This program"), ["GPL-2.0-or-later"]),
     (NOTICE.format("GNU Foo 2", "General", "3", "GNU Foo 2"), ["GPL-3.0-or-later"]),
