@@ -15,6 +15,7 @@ then those that the distance found so far does not rule out, again relaxed by th
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -26,8 +27,9 @@ from aerolith.session import stored
 
 NEAREST = 20
 FACTOR = 0.8
-SAMPLE = 4096
-SHARDS_DEEP = 4
+SHARDS_DEEP = (4, 10)  # levels of the tree that deals vectors into shards, at least and at most
+SAMPLE_ROWS = 16  # vectors that it is fitted on, for each shard
+LEAST_SAMPLE = 4096
 SHARD_ROWS = 50_000
 QUERY_ROWS = 20_000
 LEAF = 256
@@ -37,12 +39,13 @@ _SLACK = 1e-9
 
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id and embedding as doubles, without vectors that are null or zero or hold a null or a
-    component that is not finite, and without null ids."""
+    component that is not finite, without those too long for a double, and without null ids."""
     v = F.col("embedding")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     nonzero = F.exists(v, lambda x: x != 0)
+    square = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x)
     own = vectors.select("vec_id", v.cast("array<double>").alias("embedding"))
-    return own.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").filter(finite & nonzero)
+    return own.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").filter(finite & nonzero).filter(square < float("inf"))
 
 
 def one_per_id(vectors: DataFrame) -> DataFrame:
@@ -255,25 +258,34 @@ def nearest(
     queries: DataFrame,
     k: int = NEAREST,
     factor: float = FACTOR,
-    shards_deep: int = SHARDS_DEEP,
-    sample: int = SAMPLE,
+    shards_deep: int | None = None,
+    sample: int | None = None,
     shard_rows: int = SHARD_ROWS,
     query_rows: int = QUERY_ROWS,
 ) -> DataFrame:
     """query_id, rank, vec_id and score: each query's `k` best vectors other than its own.
 
-    Both frames have vec_id and embedding, of one dimension. Vectors and queries that `usable` leaves
-    out take no part. A vec_id is one vector and one query, however often its row is repeated (see
+    Both frames have vec_id and embedding. Vectors and queries that `usable` leaves out take no part,
+    nor do those of another length than the vector of the smallest id. The number of shards grows
+    with the number of vectors (`shards_deep` levels, from `SHARDS_DEEP`), so that a shard stays
+    below `shard_rows` until the deepest tree is reached; the tree is fitted on a bounded sample. A vec_id is one vector and one query, however often its row is repeated (see
     `one_per_id`). All candidates are given if there are fewer than k; ties go to the smaller id.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
     own = stored(one_per_id(usable(vectors)), "ann-vectors")
     asked = stored(one_per_id(usable(queries)), "ann-queries")
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
-    top = own.agg(F.max(norm)).first()[0]
-    if top is None:
+    smallest = own.orderBy("vec_id").select(F.size("embedding").alias("width")).first()
+    if smallest is None:
         return spark.createDataFrame([], schema)
+    same_length = F.size("embedding") == smallest["width"]
+    own, asked = own.filter(same_length), asked.filter(same_length)
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
+    n, top = own.agg(F.count(F.lit(1)), F.max(norm)).first()
+    if shards_deep is None:
+        least, most = SHARDS_DEEP
+        shards_deep = min(most, max(least, math.ceil(math.log2(2 * n / shard_rows))))
+    sample = sample or max(LEAST_SAMPLE, SAMPLE_ROWS << shards_deep)
     some = own.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("embedding").collect()
     root, _ = shard_tree(lifted(np.array([r[0] for r in some]), top), shards_deep)
 

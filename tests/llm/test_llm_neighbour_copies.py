@@ -35,3 +35,11 @@ def test_equal_vectors_keep_memory_bounded():
     root = neighbours.build(x, np.arange(n), np.random.default_rng(0), 256)
     neighbours.thin_copies(root, x, ids, k)
     assert sorted(ids[root.rows]) == list(range(k + 1))
+
+
+def test_vectors_of_other_lengths_and_too_long_ones(spark):
+    rows = [(i, [float(i + 1), 1.0]) for i in range(30)] + [(40, [1.0]), (41, [1.0, 2.0, 3.0]), (42, [1e200, 1e200]), (43, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, df.filter("vec_id % 20 = 0"), k=3).collect()
+    assert {r.query_id for r in got} == {0, 20}
+    assert sorted((r.rank, r.vec_id) for r in got if r.query_id == 0) == [(1, 29), (2, 28), (3, 27)]
