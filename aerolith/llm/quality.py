@@ -237,14 +237,15 @@ def choose_cutoffs(
     tested = rejected.join(totals, ["stratum", "rule"]).withColumn(
         "chance", binomial_at_most(F.col("false"), F.col("n"), share)
     )
+    # A document above k cutoffs is above the k-th from the strict end of the list.
     usable = tested.filter((F.col("chance") <= corrected) & (F.col("true") > 0) & (F.col("n") > 0))
     gain = F.col("true") / F.col("m") - GOOD_OVER_BAD * F.col("false") / F.col("n")
-    best = usable.groupBy("stratum", "rule").agg(F.max(F.struct(gain, -F.col("k"))).alias("best"))
+    best = usable.groupBy("stratum", "rule").agg(F.max(F.struct(gain, F.col("k"))).alias("best"))
     grid = F.create_map(*[
         x for name, (_, cutoffs) in rules.items()
         for x in (F.lit(name), F.array(*[F.lit(c) for c in cutoffs]))
     ])
-    cutoff = F.element_at(F.element_at(grid, F.col("rule")), -F.col("best.col2"))
+    cutoff = F.element_at(F.element_at(grid, F.col("rule")), -F.col("best.k"))
     per_rule = [F.max(F.when(F.col("rule") == name, cutoff)).alias(name) for name in rules]
     return stored(best.groupBy("stratum").agg(*per_rule), "quality-cutoffs")
 
