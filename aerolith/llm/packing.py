@@ -17,6 +17,8 @@ slots of that length are ranges of those numbers.
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
@@ -30,9 +32,10 @@ from aerolith.session import stored
 
 CAPACITY = 4096
 END_ID = 1
-_MEMO, _MEMO_BYTES = 500_000, 64_000_000
+_MEMO, _MEMO_BYTES = 250_000, 32_000_000  # of each of two generations
 _CHUNKS = 100_000
 _MARKER = "\x01"
+_BETWEEN = b" \x01 "
 _MAY_COMPOSE = re.compile(rb"[A-Z][\xCC-\xFF]")  # combining characters begin at U+0300
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -42,22 +45,25 @@ Pattern = tuple[int, tuple[tuple[int, int], ...]]  # bins, ((length, how often),
 # Tokens -----------------------------------------------------------------------------------------
 
 
-class WordIds(dict):
+class WordIds:
     """White-space separated chunk (UTF-8) to its ids as little-endian unsigned 32-bit numbers.
 
     The tokenizer drops white space and never joins what it separates, so a text's ids are its
     chunks' ids in order. It lower-cases, but only after composing characters, so A-Z may be
     lower-cased first unless a character follows that could join the letter. ASCII punctuation that
-    ends a chunk after a letter a-z is tokens of its own. Added tokens are found before all that: chunks of a text that has one stay as they
-    are, and are encoded whole where they hold it; if such a token holds or takes in white space, the
-    text is encoded whole. New chunks are encoded together, with a marker between them, which costs
-    half as much as one by one. Chunks met before are remembered, up to a bound.
+    ends a chunk after a letter a-z is tokens of its own. Added tokens are found before all that:
+    chunks of a text that has one stay as they are, and are encoded whole; if such a token holds or
+    takes in white space, the text is encoded whole. New chunks are encoded together, with a marker
+    between them, which costs half as much as one by one. Chunks met before are remembered, up to a
+    bound: of two generations the older one is dropped when the younger is full, and what is met
+    again moves on to the younger one, so common chunks stay.
     """
 
     def __init__(self, tokenizer):
-        super().__init__()
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.tokenizer, self.held = tokenizer, 0
-        self.marker = self._encode(_MARKER)
+        self.marker = np.frombuffer(self._encode(_MARKER), "<u4")[0]
         added = list(tokenizer.get_added_tokens_decoder().values())
         any_of = lambda tokens: re.compile(
             b"|".join(re.escape(t.content.encode().lower()) for t in tokens) or rb"(?!)"
@@ -66,58 +72,76 @@ class WordIds(dict):
         self.spaced = any_of([t for t in added if t.lstrip or t.rstrip or t.content.split() != [t.content]])
 
     def text_ids(self, text: bytes) -> bytes:
-        low = text.lower()
+        low, whole = text.lower(), False
         if self.spaced.search(low):
             return self._encode(text.decode())
         if self.added.search(low):
-            chunks = text.split()
+            chunks, whole = text.split(), True
         elif not _MAY_COMPOSE.search(text):
             chunks = low.split()
         else:
             chunks = [c if _MAY_COMPOSE.search(c) else c.lower() for c in text.split()]
-        return b"".join(self._slice_ids(chunks[i : i + _CHUNKS]) for i in range(0, len(chunks), _CHUNKS))
+        return b"".join(
+            self._slice_ids(chunks[i : i + _CHUNKS], whole) for i in range(0, len(chunks), _CHUNKS)
+        )
 
-    def _slice_ids(self, chunks: list[bytes]) -> bytes:
-        missing = {c for c in chunks if c not in self}
+    def _slice_ids(self, chunks: list[bytes], whole: bool) -> bytes:
+        if len(self.young) > _MEMO or self.held > _MEMO_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
+        # A set's difference with a dictionary looks its own few members up, the other set
+        # operations would go through the dictionary.
+        missing = set(chunks).difference(self.young)
         if missing:
-            if len(self) + len(missing) > _MEMO or self.held > _MEMO_BYTES:
-                self.clear()
-                self.held, missing = 0, set(chunks)
-            self._learn(missing)
-        return b"".join(map(self.__getitem__, chunks))
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        new, ended = set(), []
-        for chunk in chunks:
-            bare = chunk.rstrip(_PUNCTUATION)
-            cut = len(bare) < len(chunk) and bare[-1:].isalpha()
-            if cut and not self.added.search(chunk.lower()):
-                ended.append((chunk, bare, chunk[len(bare) :]))
-                new.update(ended[-1][1:])
-            else:
-                new.add(chunk)
-        fresh = [c for c in new if c not in self]
-        for chunk, ids in zip(fresh, self._encode_all(fresh)):
-            self[chunk] = ids
-            self.held += len(chunk) + len(ids)
-        for chunk, bare, tail in ended:
-            self[chunk] = self[bare] + self[tail]
+            fresh = missing.difference(self.old)
+            self.young.update([(chunk, self.old[chunk]) for chunk in missing - fresh])
+            self._learn(fresh, whole)
+        return b"".join(map(self.young.__getitem__, chunks))
+
+    def _learn(self, chunks: set[bytes], whole: bool) -> None:
+        """`whole`: chunks may hold an added token, so that nothing may be cut off."""
+        ended = []
+        if not whole:
+            bares = [(chunk, chunk.rstrip(_PUNCTUATION)) for chunk in chunks]
+            ended = [(c, bare, c[len(bare) :]) for c, bare in bares if len(bare) < len(c) and bare[-1:].isalpha()]
+        if ended:
+            chunks = chunks.difference([c for c, _, _ in ended])
+            chunks.update([bare for _, bare, _ in ended], [tail for _, _, tail in ended])
+            chunks = chunks.difference(self.young)
+        fresh = list(chunks)
+        if fresh:
+            ids = self._encode_all(fresh)
+            self.young.update(zip(fresh, ids))
+            self.held += sum(map(len, fresh)) + sum(map(len, ids))
+        self.young.update((chunk, self.young[bare] + self.young[tail]) for chunk, bare, tail in ended)
 
     def _encode_all(self, chunks: list[bytes]) -> list[bytes]:
-        together = self._encode(f" {_MARKER} ".join(c.decode() for c in chunks))
+        together = self._encode(_BETWEEN.join(chunks).decode())
         # The marker is one id, and no other text has that id, unless the character is in a chunk.
-        numbers = np.frombuffer(together, "<u4")
-        ends = np.flatnonzero(numbers == np.frombuffer(self.marker, "<u4")[0])
+        ends = (4 * np.flatnonzero(np.frombuffer(together, "<u4") == self.marker)).tolist()
         if len(ends) != len(chunks) - 1:
             return [self._encode(c.decode()) for c in chunks]
-        starts = [0, *(4 * (ends + 1)).tolist()]
-        return [together[a:b] for a, b in zip(starts, [*(4 * ends).tolist(), len(together)])]
+        starts = [0, *[end + 4 for end in ends]]
+        return [together[a:b] for a, b in zip(starts, [*ends, len(together)])]
 
     def _encode(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found[0].ids, "<u4").tobytes()
 
 
+def worker_words(tokenizer_path: str) -> WordIds:
+    """The tokenizer and its memo, one for all tasks that a Python worker runs.
+
+    Functions of this package reach a worker by value, so their globals are new with each task; a
+    module of the worker's own outlasts them.
+    """
+    held = sys.modules.setdefault("_word_ids", types.ModuleType("_word_ids")).__dict__
+    if tokenizer_path not in held:
+        from tokenizers import Tokenizer
+
+        held[tokenizer_path] = WordIds(Tokenizer.from_file(tokenizer_path))
+    return held[tokenizer_path]
+
+
 def tokenised(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Pieces: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
 
@@ -126,9 +150,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, wi
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        words, end = WordIds(Tokenizer.from_file(tokenizer_path)), np.array([END_ID], "<u4").tobytes()
+        words, end = worker_words(tokenizer_path), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.columns
             of, rows, held = [], [], []
