@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerolith import schemas
-from aerolith.plans import batch
+from aerolith.plans import batch, incremental
 from aerolith.plans.checks import Watch
 from aerolith.session import build_session
 from aerolith.sources import payloads, scan, sinks
@@ -39,6 +39,18 @@ def warehouse(spark: SparkSession, args: argparse.Namespace) -> None:
         raise SystemExit(1)
 
 
+def refresh(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Bring stored marts up to date with one landing: a folder of hours, of readings, or both."""
+    air = lambda path: scan.read_partitioned(spark, path, schemas.AIR_RAW, schemas.DAY_PATH)
+    print(incremental.refresh_warehouse(
+        spark, scan.read_weather(spark, args.weather), scan.read_weather(spark, args.weather_daily),
+        air(args.air), args.out,
+        scan.read_weather(spark, args.landed_weather) if args.landed_weather else None,
+        air(args.landed_air) if args.landed_air else None,
+        _landed_stream(spark, args.stream) if args.stream else None, args.dedupe_air,
+    ))
+
+
 def land_weather(spark: SparkSession, args: argparse.Namespace) -> None:
     """Hourly documents below city_id=... to the backfill layout, or one day to the daily layout."""
     cities = scan.read_cities(spark, args.cities)
@@ -127,6 +139,12 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--cities", help="seed CSV; default: the built-in eight cities")
     sub.add_argument("--dedupe-air", action="store_true")
 
+    sub = job(refresh, "weather", "weather-daily", "air", "out")
+    sub.add_argument("--landed-weather", help="the landed hours, also part of the feeds")
+    sub.add_argument("--landed-air", help="the landed readings, also part of the feed")
+    sub.add_argument("--stream", help="landed stream events, as the marts were built with")
+    sub.add_argument("--dedupe-air", action="store_true")
+
     sub = job(land_weather, "documents", "out")
     sub.add_argument("--day", type=date.fromisoformat)
     sub.add_argument("--cities")

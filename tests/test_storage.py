@@ -248,6 +248,19 @@ def test_warehouse_job(spark, path):
     assert spark.read.parquet(path("dw") + "/dim_cities").count() == 8
 
 
+def test_refresh_job(spark, path):
+    land_inputs(spark, path)
+    feeds = ["--weather", path("hist"), "--weather-daily", path("day"), "--air", path("air"), "--out", path("dw")]
+    args = cli.parser().parse_args(["warehouse", *feeds])
+    args.run(spark, args)
+    late = weather_row("BOG", datetime(2024, 2, 3, 12), datetime(2024, 4, 2), "BOG", temperature_2m=31.0)
+    sinks.land_day(weather(spark, late), path("day"), "2024-02-03")
+    args = cli.parser().parse_args(["refresh", *feeds, "--landed-weather", path("day") + "/year=2024/month=2/day=3"])
+    args.run(spark, args)
+    days = spark.read.parquet(path("dw") + "/fct_weather_daily").filter("city_id = 'BOG' AND observation_month = 2").collect()
+    assert {r.observation_date.day: r.max_temperature_c for r in days} == {1: 11.0, 2: 30.0, 3: 31.0}
+
+
 def test_warehouse_job_with_live_events(spark, path):
     land_inputs(spark, path)
     os.makedirs(path("in"))
