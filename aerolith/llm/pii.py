@@ -392,15 +392,17 @@ class Model:
 
 def fit(found: DataFrame, patterns: int = PATTERNS) -> Model:
     """Learn from the candidates of all documents, counted by features. `patterns` bounds what the
-    driver sees: per document fold and kind, the most frequent combinations of features."""
+    driver sees: up to that many combinations of features per kind and fold come whole, more are
+    learnt from in Spark (`fit_spread`), with the same trees and thresholds."""
     counted = (
         found.select("held_out", F.inline("candidates"))
         .groupBy("kind", "features", "held_out")
         .agg(F.count_if(F.col("state") == 1).alias("yes"), F.count_if(F.col("state") == 0).alias("no"))
-        .orderBy(F.desc(F.col("yes") + F.col("no")), "kind", "features", "held_out")
-        .limit(patterns)
     )
-    rows = sorted(counted.collect(), key=lambda r: (r["kind"], r["features"]))
+    rows = counted.limit(patterns + 1).collect()
+    if len(rows) > patterns:
+        return fit_spread(stored(counted, "pii-patterns"))
+    rows = sorted(rows, key=lambda r: (r["kind"], r["features"]))
     trees, cutoffs = {}, {}
     for kind in range(len(KINDS)):
         own = [r for r in rows if r["kind"] == kind]
@@ -420,6 +422,121 @@ def fit(found: DataFrame, patterns: int = PATTERNS) -> Model:
     return Model(trees, cutoffs)
 
 
+def _score_of(trees: dict[int, list[Tree]], features: Column, kind: Column) -> Column:
+    """The trees' sum for a candidate of `kind`, as `value_of` gives it; null for other kinds."""
+
+    def column(tree: Tree) -> Column:
+        if isinstance(tree, float):
+            return F.lit(tree)
+        feature, at, left, right = tree
+        return F.when(F.get(features, F.lit(feature)) <= at, column(left)).otherwise(column(right))
+
+    result = F.lit(None).cast("double")
+    for k, own in trees.items():
+        result = F.when(kind == k, reduce(lambda a, t: a + column(t), own[1:], column(own[0]))).otherwise(result)
+    return result
+
+
+def _grown(node: int, splits: dict, sums: dict, depth: int) -> Tree:
+    """The tree below `node` from the splits found level by level and the nodes' sums."""
+    if node not in splits or depth == 0:
+        total, weight = sums[node]
+        return float(RATE * total / (weight + 1.0))
+    feature, at = splits[node]
+    return (feature, at, _grown(2 * node, splits, sums, depth - 1), _grown(2 * node + 1, splits, sums, depth - 1))
+
+
+def _best_split(histogram: dict[int, dict[int, tuple[float, float]]]) -> tuple[tuple[float, float], tuple | None]:
+    """A node's sums and its best split, as `grow` chooses it, from sums per feature and value."""
+    gain_of = lambda s, b: s * s / (b + 1.0)
+    best, found, whole = (1e-6, None, None), None, None
+    for feature in sorted(histogram):
+        values = histogram[feature]
+        top = max(values)
+        slope, bend = np.zeros(top + 1), np.zeros(top + 1)
+        for value, (s_, b_) in values.items():
+            slope[value], bend[value] = s_, b_
+        s, b = np.cumsum(slope), np.cumsum(bend)
+        whole = whole or (s[-1], b[-1])
+        total, weight = whole
+        gain = gain_of(s, b) + gain_of(total - s, weight - b) - gain_of(total, weight)
+        gain[(b < 1.0) | (weight - b < 1.0)] = 0.0
+        at = int(gain.argmax())
+        if gain[at] > best[0] + 1e-9:
+            best = (gain[at], feature, at)
+            found = (feature, at, (s[at], b[at]), (total - s[at], weight - b[at]))
+    return whole, found
+
+
+def fit_spread(counted: DataFrame) -> Model:
+    """`fit` on combinations of features that stay in Spark: each level of each tree is chosen from
+    sums of slope and bend per kind, node, feature and value; thresholds from counts per score."""
+    totals = {
+        (r["kind"], r["held_out"]): (r["yes"], r["no"])
+        for r in counted.groupBy("kind", "held_out").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).collect()
+    }
+    kinds = [k for k in range(len(KINDS)) if totals.get((k, False), (0, 0))[0]]
+    trees: dict[int, list[Tree]] = {}
+    for k in kinds:
+        n_yes, n_no = totals[(k, False)]
+        trees[k] = [float(math.log((n_yes + 0.5) / (n_no + 0.5)))]
+    growing = [k for k in kinds if all(totals[(k, False)])]
+    shown = counted.filter(~F.col("held_out") & F.col("kind").isin(growing))
+    features, kind = F.col("features"), F.col("kind")
+    for _ in range(TREES if growing else 0):
+        p = 1 / (1 + F.exp(-_score_of({k: trees[k] for k in growing}, features, kind)))
+        n = F.col("yes") + F.col("no")
+        rated = shown.select(
+            "kind", "features", (F.col("yes") - n * p).alias("slope"), (n * p * (1 - p) + 1e-9).alias("bend"),
+        )
+        splits: dict[int, dict] = {k: {} for k in growing}
+        sums: dict[int, dict] = {k: {} for k in growing}
+        for level in range(DEPTH):
+            node = F.lit(1)
+            for k in growing:
+                at_kind = F.lit(1)
+                for _level in range(level):
+                    step = F.lit(None).cast("int")
+                    for parent, (feature, at) in splits[k].items():
+                        step = F.when(at_kind == parent, F.when(F.get(features, F.lit(feature)) <= at, 2 * parent)
+                                      .otherwise(2 * parent + 1)).otherwise(step)
+                    at_kind = step
+                node = F.when(kind == k, at_kind).otherwise(node) if level else node
+            histogram = (
+                rated.withColumn("node", node).filter(F.col("node").isNotNull())
+                .select("kind", "node", F.posexplode("features").alias("feature", "value"), "slope", "bend")
+                .groupBy("kind", "node", "feature", "value").agg(F.sum("slope").alias("s"), F.sum("bend").alias("b"))
+                .collect()
+            )
+            by_node: dict[tuple[int, int], dict[int, dict[int, tuple[float, float]]]] = {}
+            for r in histogram:
+                by_node.setdefault((r["kind"], r["node"]), {}).setdefault(r["feature"], {})[r["value"]] = (r["s"], r["b"])
+            for (k, at_node), histogram_ in by_node.items():
+                whole, found = _best_split(histogram_)
+                sums[k].setdefault(at_node, whole)
+                if found is not None:
+                    feature, at, left, right = found
+                    splits[k][at_node] = (feature, at)
+                    sums[k][2 * at_node], sums[k][2 * at_node + 1] = left, right
+        for k in growing:
+            trees[k].append(_grown(1, splits[k], sums[k], DEPTH))
+    cutoffs = {}
+    held = counted.filter(F.col("held_out") & F.col("kind").isin(kinds))
+    scored = (
+        held.select("kind", _score_of(trees, features, kind).alias("score"), "yes", "no")
+        .groupBy("kind", "score").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+        .collect()
+    )
+    for k in kinds:
+        own = [r for r in scored if r["kind"] == k]
+        if own:
+            cut = threshold(np.array([r["score"] for r in own]), np.array([r["yes"] for r in own], float),
+                            np.array([r["no"] for r in own], float))
+            if cut is not None:
+                cutoffs[k] = cut - 1e-9
+    return Model(trees, cutoffs)
+
+
 # Results ----------------------------------------------------------------------------------------
 
 

@@ -150,3 +150,22 @@ def test_redacted_texts(spark):
     # A card number behind a plus is no phone number: 16 digits are too many.
     assert got[9005] == "+[CARD] x"
     assert got[0] == "please call [PHONE] today" and got[1] == "paid with card [CARD] there"
+
+
+def test_all_patterns_are_learnt_from_beyond_the_driver_bound(spark):
+    rows = [(i, written(i)) for i in range(1600)] + [(5000, "please call 1 (743) 555-3824 today")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.document_spans(docs).cache()
+    whole = pii.fit(found)
+    spread = pii.fit(found, patterns=5)
+    assert sorted(spread.trees) == sorted(whole.trees) and sorted(spread.cutoffs) == sorted(whole.cutoffs)
+    for kind, cutoff in whole.cutoffs.items():
+        assert abs(spread.cutoffs[kind] - cutoff) < 1e-6
+    margins = lambda model: {
+        (r.doc_id, r.start, r.kind): r.m
+        for r in found.select("doc_id", F.inline("candidates"))
+        .select("doc_id", "start", "kind", model.margin_of(F.struct("kind", "features")).alias("m")).collect()
+    }
+    want, got = margins(whole), margins(spread)
+    assert want.keys() == got.keys()
+    assert all((want[k] is None and got[k] is None) or abs(want[k] - got[k]) < 1e-6 for k in want)
