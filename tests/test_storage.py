@@ -109,6 +109,18 @@ def test_each_document_is_parsed_once(spark):
         assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
 
 
+def test_documents_told_apart_are_built_and_parsed_once(spark):
+    hourly = F.struct(F.when(F.col("id") > 0, F.array(F.lit("2024-03-05T07:00"))).alias("time"))
+    built = F.when(F.col("id") == 2, F.lit("{")).otherwise(F.to_json(F.struct(hourly.alias("hourly"))))
+    docs = spark.range(3).select(F.lit("BOG").alias("city_id"), built.alias("payload"), "id")
+    good, bad = payloads.told_apart(docs, "hourly.time")
+    for frame in (good, bad):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "parseJson" not in plan and "StructsToJson" not in plan
+    assert [r.id for r in good.collect()] == [1]
+    assert sorted((r.id, r.reason) for r in bad.collect()) == [(0, "no hourly.time"), (2, "not JSON")]
+
+
 def test_station_and_measurement_documents(spark):
     station = {"results": [
         {"id": 1, "name": "Centro", "sensors": [
